@@ -1,6 +1,7 @@
 """Schema drift between deliveries: which fields change type, or are absent, from file to file.
 
-The input is a catalogue set: rows ``Field, Data Type, filename``. A report row lists file names. A list
+The input is a catalogue set: rows ``Field, Data Type, filename``, or the same with a count of
+``entries``. A report row lists file names. A list
 of every file would grow without bound, so each list holds about ``files_per_row`` names and goes on in
 further rows (``part`` 0, 1, ...); all rows of a field and type together name every file. Counts are
 pre-aggregated before each exchange, so a field, type or file that owns a large share of the
@@ -17,7 +18,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from docstrata.conventions import CATALOG_FILE, DATA_TYPE, FIELD, TYPE_ABSENT
 
 FILES_PER_ROW = 1_000
+FIELDS_PER_SLOT = 1_000
 PART = "part"
+ENTRIES = "entries"
 
 
 def union_by_name(frames: Iterable[DataFrame]) -> DataFrame:
@@ -25,8 +28,16 @@ def union_by_name(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
 
 
-def _typed(catalog: DataFrame) -> DataFrame:
-    return catalog.select(FIELD, DATA_TYPE, CATALOG_FILE).dropna(subset=[FIELD, DATA_TYPE])
+def catalog_entries(catalog: DataFrame) -> DataFrame:
+    """``Field, Data Type, filename, entries``: how often a file lists a field with a type.
+
+    Rows without a field or type do not count. The reports below accept a catalogue set in either form.
+    For one with very many rows, write this small table once (``settle``) and report from there: each
+    report reads its input more than once.
+    """
+    weight = F.sum(ENTRIES) if ENTRIES in catalog.columns else F.count("*")
+    typed = catalog.filter(F.col(FIELD).isNotNull() & F.col(f"`{DATA_TYPE}`").isNotNull())
+    return typed.groupBy(FIELD, DATA_TYPE, CATALOG_FILE).agg(weight.alias(ENTRIES))
 
 
 def type_conflicts(catalog: DataFrame, files_per_row: int = FILES_PER_ROW) -> DataFrame:
@@ -34,19 +45,19 @@ def type_conflicts(catalog: DataFrame, files_per_row: int = FILES_PER_ROW) -> Da
 
     A file that lists a field with the same type several times is named as often.
     """
-    entries = _typed(catalog).groupBy(FIELD, DATA_TYPE, CATALOG_FILE).agg(F.count("*").alias("n"))
-    per_type = entries.groupBy(FIELD, DATA_TYPE).agg(
-        F.ceil(F.sum("n") / F.lit(files_per_row)).alias("parts")
-    )
+    entries = catalog_entries(catalog)
+    per_type = entries.groupBy(FIELD, DATA_TYPE).agg(F.sum(ENTRIES).alias("total"))
+    # More than one type: the most frequent type does not account for all entries of the field.
     torn = (
-        per_type.groupBy(FIELD).agg(F.min(DATA_TYPE).alias("low"), F.max(DATA_TYPE).alias("high"))
-        .filter(F.col("low") != F.col("high")).select(FIELD)
+        per_type.groupBy(FIELD).agg(F.sum("total").alias("all_types"), F.max("total").alias("one_type"))
+        .filter(F.col("all_types") > F.col("one_type")).select(FIELD)
     )
-    listed = entries.join(per_type.join(torn, FIELD, "left_semi"), [FIELD, DATA_TYPE])
+    parts = F.ceil(F.col("total") / F.lit(files_per_row)).alias("parts")
+    listed = entries.join(per_type.join(torn, FIELD).select(FIELD, DATA_TYPE, parts), [FIELD, DATA_TYPE])
     # A file named more often than one list may hold is cut into pieces first.
-    last_piece = F.floor((F.col("n") - 1) / F.lit(files_per_row))
+    last_piece = F.floor((F.col(ENTRIES) - 1) / F.lit(files_per_row))
     pieces = listed.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last_piece)))
-    times = F.least(F.lit(files_per_row).cast("bigint"), F.col("n") - F.col("piece") * files_per_row).cast("int")
+    times = F.least(F.lit(files_per_row).cast("bigint"), F.col(ENTRIES) - F.col("piece") * files_per_row).cast("int")
     return (
         pieces.select(
             FIELD, DATA_TYPE,
@@ -60,40 +71,51 @@ def type_conflicts(catalog: DataFrame, files_per_row: int = FILES_PER_ROW) -> Da
 
 def first_types(catalog: DataFrame, order_col: str | None = None) -> DataFrame:
     """One type per field and file: the first by ``order_col``, else the smallest text."""
-    typed = catalog.dropna(subset=[FIELD, DATA_TYPE])
-    first = F.min_by(DATA_TYPE, order_col) if order_col else F.min(DATA_TYPE)
-    return typed.groupBy(FIELD, CATALOG_FILE).agg(first.alias(DATA_TYPE))
+    if order_col:
+        typed = catalog.dropna(subset=[FIELD, DATA_TYPE])
+        return typed.groupBy(FIELD, CATALOG_FILE).agg(F.min_by(DATA_TYPE, order_col).alias(DATA_TYPE))
+    # A minimum over texts sorts its input; the exchange in between makes that the distinct entries.
+    entries = catalog_entries(catalog).select(FIELD, DATA_TYPE, CATALOG_FILE)
+    return entries.repartition(FIELD, CATALOG_FILE).groupBy(FIELD, CATALOG_FILE).agg(F.min(DATA_TYPE).alias(DATA_TYPE))
 
 
-def _shelved(typed: DataFrame, files_per_row: int) -> tuple[DataFrame, DataFrame, Column]:
-    """File names on numbered shelves of about ``files_per_row`` names, the typed rows with their shelf,
-    and the number of shelves."""
-    files = typed.select(CATALOG_FILE).distinct()
-    shelf_count = files.agg(F.greatest(F.ceil(F.count("*") / F.lit(files_per_row)), F.lit(1))).scalar()
-    shelf = F.pmod(F.xxhash64(CATALOG_FILE), shelf_count).cast("int").alias(PART)
-    shelves = files.select(CATALOG_FILE, shelf).groupBy(PART).agg(F.collect_list(CATALOG_FILE).alias("shelf"))
-    return shelves, typed.select(FIELD, CATALOG_FILE, DATA_TYPE, shelf), shelf_count
+def _groups_of(size: int, names: DataFrame) -> Column:
+    """How many groups of about ``size`` the rows of ``names`` make, at least one, as a scalar subquery."""
+    return names.agg(F.greatest(F.ceil(F.count("*") / F.lit(size)), F.lit(1)).cast("int")).scalar()
+
+
+def _group_number(column: str, groups: Column) -> Column:
+    return F.pmod(F.xxhash64(column), groups).cast("int")
 
 
 def _absences(typed: DataFrame, files_per_row: int, only: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """The typed rows with their shelf, and per field and shelf the list of files lacking the field.
+    """The typed rows with their ``part``, and per field and part the list of files lacking the field.
 
-    Every field (or those in ``only``) meets every shelf, not every file, through an equi-join on the
-    shelf number.
+    File names lie on numbered shelves of about ``files_per_row`` names (the ``part``). Every field, or
+    those in ``only``, meets every shelf rather than every file, in an equi-join that is spread over as
+    many slots as there are thousands of fields. It is always a merge: size estimates do not see how
+    often a row has been repeated, and might have the grown side broadcast.
     """
-    shelves, placed, shelf_count = _shelved(typed, files_per_row)
+    files = typed.select(CATALOG_FILE).distinct()
+    shelf_count = _groups_of(files_per_row, files)
+    placed = typed.withColumn(PART, _group_number(CATALOG_FILE, shelf_count))
     present = placed if only is None else placed.join(only, FIELD, "left_semi")
     fields = typed.select(FIELD).distinct() if only is None else only
+    slot_count = _groups_of(FIELDS_PER_SLOT, fields)
+
     held = present.groupBy(FIELD, PART).agg(F.collect_list(CATALOG_FILE).alias("held"))
-    absent = (
-        fields.select(FIELD, F.explode(F.sequence(F.lit(0), (shelf_count - 1).cast("int"))).alias(PART))
-        .join(shelves, PART)
+    wanted = (
+        fields.select(FIELD, F.explode(F.sequence(F.lit(0), shelf_count - 1)).alias(PART))
         .join(held, [FIELD, PART], "left")
-        .select(FIELD, PART, F.when(F.col("held").isNull(), F.col("shelf"))
-                .otherwise(F.array_except("shelf", "held")).alias("lacking"))
-        .filter(F.size("lacking") > 0)
+        .withColumn("slot", _group_number(FIELD, slot_count))
+    )
+    shelves = (
+        files.groupBy(_group_number(CATALOG_FILE, shelf_count).alias(PART)).agg(F.collect_list(CATALOG_FILE).alias("shelf"))
+        .select(PART, "shelf", F.explode(F.sequence(F.lit(0), slot_count - 1)).alias("slot"))
     )
-    return present, absent
+    lacking = F.when(F.col("held").isNull(), F.col("shelf")).otherwise(F.array_except("shelf", "held"))
+    absent = wanted.join(shelves.hint("merge"), [PART, "slot"]).select(FIELD, PART, lacking.alias("lacking"))
+    return present, absent.filter(F.size("lacking") > 0)
 
 
 def type_conflicts_with_absence(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -47,5 +47,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/docstrata/{label}-{uuid.uuid4().hex}"
 
 
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate result to the scratch folder and go on from the written table.
+
+    What follows may read it often, and neither recomputes it nor depends on any executor still being
+    there.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def is_case_sensitive(spark: SparkSession) -> bool:
     return spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true"

@@ -26,6 +26,7 @@ from docstrata.functions.values import (
 )
 from docstrata.operators.catalog import ancestors, array_fields, schema_catalog, schema_tree_rows
 from docstrata.operators.drift import (
+    ENTRIES,
     as_delimited_report,
     melt_types,
     pivot_types,
@@ -50,7 +51,7 @@ from docstrata.streaming.ingest import ingest_documents, ingested_table
 from docstrata.workload import oracles as sql
 from docstrata.workload.shapes import (
     CATALOG_FILES,
-    event_catalog,
+    event_entries,
     line_docs,
     order_docs,
     page_docs,
@@ -483,7 +484,7 @@ WHERE field IN (SELECT field FROM catalog GROUP BY field HAVING count(DISTINCT d
 GROUP BY field, dtype, file""")
 def q_type_conflicts(spark, sf_dir):
     # The lists are opened again, so that the check does not depend on how they were cut into rows.
-    named = type_conflicts(event_catalog(spark, sf_dir)).withColumn(CATALOG_FILE, F.explode(CATALOG_FILE))
+    named = type_conflicts(event_entries(spark, sf_dir)).withColumn(CATALOG_FILE, F.explode(CATALOG_FILE))
     return named.groupBy(FIELD, DATA_TYPE, CATALOG_FILE).agg(F.count("*").alias("entries"))
 
 
@@ -492,8 +493,8 @@ SELECT field AS "Field", dtype AS "Data Type", 0 AS part, string_agg(DISTINCT fi
 WHERE field IN (SELECT field FROM catalog GROUP BY field HAVING count(DISTINCT dtype) > 1)
 GROUP BY field, dtype""")
 def q_type_conflicts_report(spark, sf_dir):
-    catalog = event_catalog(spark, sf_dir).select(FIELD, DATA_TYPE, CATALOG_FILE).distinct()
-    return as_delimited_report(type_conflicts(catalog))
+    once = event_entries(spark, sf_dir).drop(ENTRIES)
+    return as_delimited_report(type_conflicts(once))
 
 
 @query(f"""WITH {sql.CATALOG}
@@ -501,7 +502,7 @@ SELECT field AS "Field", dtype AS "Data Type", 0 AS part, string_agg(file, ', '
 WHERE field IN (SELECT field FROM grid GROUP BY field HAVING count(DISTINCT dtype) > 1)
 GROUP BY field, dtype""")
 def q_type_conflicts_missing(spark, sf_dir):
-    return as_delimited_report(type_conflicts_with_absence(event_catalog(spark, sf_dir)))
+    return as_delimited_report(type_conflicts_with_absence(event_entries(spark, sf_dir)))
 
 
 _FILES = [f"file_{i:02d}" for i in range(CATALOG_FILES)]
@@ -511,17 +512,17 @@ _FILES = [f"file_{i:02d}" for i in range(CATALOG_FILES)]
 SELECT field AS "Field", """ + ", ".join(f"coalesce(max(dtype) FILTER (WHERE file = '{f}'), 'Data Type Not Present') AS {f}" for f in _FILES)
        + " FROM grid GROUP BY field")
 def q_pivot_types(spark, sf_dir):
-    return pivot_types(event_catalog(spark, sf_dir), _FILES)
+    return pivot_types(event_entries(spark, sf_dir), _FILES)
 
 
 @query(f"""WITH {sql.CATALOG} SELECT field AS "Field", file AS filename, dtype AS "Data Type" FROM grid""")
 def q_melt_types(spark, sf_dir):
-    return melt_types(pivot_types(event_catalog(spark, sf_dir)))
+    return melt_types(pivot_types(event_entries(spark, sf_dir)))
 
 
 @query(CHECKS["q_melt_types"])
 def q_types_by_file(spark, sf_dir):
-    return types_by_file(event_catalog(spark, sf_dir))
+    return types_by_file(event_entries(spark, sf_dir))
 
 
 # --- loading ---------------------------------------------------------------------------------------

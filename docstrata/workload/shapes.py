@@ -11,7 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docstrata.conventions import CATALOG_FILE, DATA_TYPE, FIELD, HIERARCHY
-from docstrata.session import scratch_path
+from docstrata.operators.drift import catalog_entries
+from docstrata.session import scratch_path, settle
 
 CATALOG_FILES = 40
 
@@ -120,6 +121,11 @@ def event_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue set of the events, counted in one pass over them and written to a small table."""
+    return settle(catalog_entries(event_catalog(spark, sf_dir)), "event-entries")
+
+
 def written_json(df: DataFrame, label: str) -> str:
     """The frame as JSON Lines files in a fresh scratch folder."""
     path = scratch_path(df.sparkSession, label)
