@@ -6,14 +6,14 @@ from pyspark.sql import Column, functions as F, types as T
 
 from docstrata.conventions import DECIMAL_TEXT, INTEGER_TEXT, LISTING_TIMESTAMP, MISSING_ATTRIBUTE
 
-_NESTED = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
+NESTED_TYPES = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
 
 
 def as_text(column: Column, data_type: T.DataType) -> Column:
     """The value as text. Nested values become JSON, everything else its ordinary cast."""
     if isinstance(data_type, T.StringType):
         return column
-    return F.to_json(column) if isinstance(data_type, _NESTED) else column.cast("string")
+    return F.to_json(column) if isinstance(data_type, NESTED_TYPES) else column.cast("string")
 
 
 def is_empty_text(text: Column) -> Column:

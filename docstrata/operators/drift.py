@@ -58,12 +58,14 @@ def type_conflicts(catalog: DataFrame, files_per_row: int = FILES_PER_ROW) -> Da
     last_piece = F.floor((F.col(ENTRIES) - 1) / F.lit(files_per_row))
     pieces = listed.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last_piece)))
     times = F.least(F.lit(files_per_row).cast("bigint"), F.col(ENTRIES) - F.col("piece") * files_per_row).cast("int")
+    # Spread by part as well: grouping where the join left the rows would keep a hot field in one task.
     return (
         pieces.select(
             FIELD, DATA_TYPE,
             F.pmod(F.xxhash64(CATALOG_FILE, "piece"), F.col("parts")).cast("int").alias(PART),
             F.array_repeat(F.col(CATALOG_FILE), times).alias("names"),
         )
+        .repartition(FIELD, DATA_TYPE, PART)
         .groupBy(FIELD, DATA_TYPE, PART)
         .agg(F.sort_array(F.flatten(F.collect_list("names"))).alias(CATALOG_FILE))
     )
@@ -99,7 +101,7 @@ def _absences(typed: DataFrame, files_per_row: int, only: DataFrame | None = Non
     files = typed.select(CATALOG_FILE).distinct()
     shelf_count = _groups_of(files_per_row, files)
     placed = typed.withColumn(PART, _group_number(CATALOG_FILE, shelf_count))
-    present = placed if only is None else placed.join(only, FIELD, "left_semi")
+    present = placed if only is None else placed.join(only, FIELD, "left_semi").repartition(FIELD, PART)
     fields = typed.select(FIELD).distinct() if only is None else only
     slot_count = _groups_of(FIELDS_PER_SLOT, fields)
 

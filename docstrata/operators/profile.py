@@ -18,58 +18,59 @@ from docstrata.conventions import (
     CLASS_MIXED,
     CLASS_NULL,
     CLASS_STRING,
+    DECIMAL_TEXT,
 )
 from docstrata.errors import LayoutError
-from docstrata.functions.schema_walk import top_column
-from docstrata.functions.values import as_text, is_decimal_text, is_empty_text, pretty_json
+from docstrata.functions.values import NESTED_TYPES, pretty_json
 
 _COUNTS = ("null_count", "empty_count", "integer_count", "decimal_count", "string_count")
-_NEVER_NUMERIC = (
-    T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType,
-    T.StructType, T.ArrayType, T.MapType,
-)
+_NEVER_NUMERIC = (T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, *NESTED_TYPES)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _value_tests(column: Column, data_type: T.DataType) -> tuple[Column, Column, Column]:
-    """Is the value, written as text, empty / an unsigned integer / an unsigned decimal?"""
-    never = F.lit(False)
+def _value_tests(column: str, data_type: T.DataType) -> tuple[str, str, str]:
+    """SQL tests: is the value, written as text, empty / an unsigned integer / an unsigned decimal?"""
     if isinstance(data_type, T.IntegralType):
-        return never, column >= 0, column >= 0
+        return "false", f"{column} >= 0", f"{column} >= 0"
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         # Text form of a double: plain digits with a point from 1e-3 up to 1e7, otherwise with an exponent.
-        value = column.cast("double")
-        plain = (value >= 1e-3) & (value < 1e7)
-        return never, never, plain | ((value == 0) & (column.cast("string") == "0.0"))
+        plain = f"double({column}) >= 1e-3 AND double({column}) < 1e7"
+        return "false", "false", f"({plain}) OR ({column} = 0 AND string({column}) = '0.0')"
     if isinstance(data_type, _NEVER_NUMERIC):
-        return never, never, never
-    text = as_text(column, data_type)
-    decimal = is_decimal_text(text)
-    return is_empty_text(text), decimal & ~F.contains(text, F.lit(".")), decimal
+        return "false", "false", "false"
+    text = column if isinstance(data_type, T.StringType) else f"string({column})"
+    # The first character spares nearly all prose the pattern, and the decoding that comes with it.
+    decimal = f"substring({text}, 1, 1) BETWEEN '0' AND '9' AND {text} RLIKE {_literal(DECIMAL_TEXT)}"
+    return f"{text} = ''", f"{decimal} AND NOT contains({text}, '.')", decimal
 
 
-def _column_counts(column: Column, data_type: T.DataType) -> Column:
+def _column_counts(name: str, data_type: T.DataType) -> str:
+    """SQL of one column's counts; as text because a wide table has thousands of expressions."""
+    column = _quoted(name)
     empty, integer, decimal = _value_tests(column, data_type)
-    total, present, empties = F.count("*"), F.count(column), F.count_if(empty)
-    return F.struct(
-        (total - present).alias("null_count"),
-        empties.alias("empty_count"),
-        F.count_if(integer).alias("integer_count"),
-        F.count_if(decimal).alias("decimal_count"),
-        (present - empties).alias("string_count"),
+    return (
+        f"struct(count(*) - count({column}) AS null_count, count_if({empty}) AS empty_count, "
+        f"count_if({integer}) AS integer_count, count_if({decimal}) AS decimal_count, "
+        f"count({column}) - count_if({empty}) AS string_count)"
     )
 
 
-def _class_of(strict: bool) -> Column:
-    blank = F.col("null_count") + F.col("empty_count")
-    total = F.col("total_count")
-    chosen = (
-        F.when(blank == total, CLASS_NULL)
-        .when(F.col("integer_count") + blank == total, CLASS_INTEGER)
-        .when(F.col("decimal_count") + blank == total, CLASS_DECIMAL)
+def _class_of(strict: bool) -> str:
+    blank = "null_count + empty_count"
+    mixed = "" if strict else f"WHEN decimal_count > 0 THEN '{CLASS_MIXED}' "
+    return (
+        f"CASE WHEN {blank} = total_count THEN '{CLASS_NULL}' "
+        f"WHEN integer_count + {blank} = total_count THEN '{CLASS_INTEGER}' "
+        f"WHEN decimal_count + {blank} = total_count THEN '{CLASS_DECIMAL}' "
+        f"{mixed}ELSE '{CLASS_STRING}' END AS column_class"
     )
-    if not strict:
-        chosen = chosen.when(F.col("decimal_count") > 0, CLASS_MIXED)
-    return chosen.otherwise(CLASS_STRING)
 
 
 def profile_columns(df: DataFrame, name: str, strict: bool = True) -> DataFrame:
@@ -84,22 +85,17 @@ def profile_columns(df: DataFrame, name: str, strict: bool = True) -> DataFrame:
         raise LayoutError(f"{name!r} has no columns to profile")
     counted = df.agg(
         F.count("*").alias("total_count"),
-        *[_column_counts(top_column(f.name), f.dataType).alias(f"c{i}") for i, f in enumerate(fields)],
+        *[F.expr(f"{_column_counts(f.name, f.dataType)} AS c{i}") for i, f in enumerate(fields)],
     )
-    per_column = F.array(*[
-        F.struct(
-            F.lit(i).alias("ordinal"),
-            F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("data_type"),
-            *[F.col(f"c{i}").getField(count).alias(count) for count in _COUNTS],
-        )
+    per_column = ", ".join(
+        f"struct({i} AS ordinal, {_literal(f.name)} AS column_name, {_literal(f.dataType.simpleString())} AS data_type, c{i}.*)"
         for i, f in enumerate(fields)
-    ])
+    )
     return (
-        counted.select("total_count", F.inline(per_column))
-        .select(
-            F.lit(name).alias("DataFrame_name"), "ordinal", "column_name", "data_type", "total_count", *_COUNTS,
-            _class_of(strict).alias("column_class"),
+        counted.selectExpr("total_count", f"inline(array({per_column}))")
+        .selectExpr(
+            f"{_literal(name)} AS DataFrame_name", "ordinal", "column_name", "data_type", "total_count", *_COUNTS,
+            _class_of(strict),
         )
     )
 

@@ -3,31 +3,51 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docstrata.conventions import DOCUMENT_KEY
 from docstrata.functions.schema_walk import top_column
+from docstrata.operators.drift import union_by_name
 from docstrata.operators.nulls import empty_to_null
 from docstrata.sinks.tables import save_table
 from docstrata.sources.delimited import read_delimited
 from docstrata.sources.files import discover_tables
 
 
+def _read_alike(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Delimited files of one table, matched by column name; files with the same header are read together."""
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        by_header.setdefault(tuple(read_delimited(spark, path).columns), []).append(path)
+    return union_by_name(read_delimited(spark, alike) for alike in by_header.values())
+
+
 def load_folder(
-    spark: SparkSession, folder: str, target_schema: str | None = None, mode: str = "append", location: str | None = None
+    spark: SparkSession,
+    folder: str,
+    target_schema: str | None = None,
+    mode: str = "append",
+    location: str | None = None,
+    concurrent: int = 1,
 ) -> list[str]:
     """Load every table found below a folder into a catalogue table, empty text as null.
 
-    Only the list of tables is brought to the driver, one entry per table. Rows stay distributed.
+    Files routed to one table are loaded together. Only the list of files to load is brought to the
+    driver; rows stay distributed. ``concurrent`` tables are loaded at a time.
     """
-    loaded = []
+    paths: dict[str, list[str]] = {}
     for found in discover_tables(spark, folder, target_schema).orderBy("path").toLocalIterator():
-        rows = empty_to_null(read_delimited(spark, found.path))
-        place = f"{location.rstrip('/')}/{found.table_name}" if location else None
-        save_table(rows, found.table_name, mode, place)
-        loaded.append(found.table_name)
-    return loaded
+        paths.setdefault(found.table_name, []).append(found.path)
+
+    def load(table_name: str) -> str:
+        rows = empty_to_null(_read_alike(spark, paths[table_name]))
+        save_table(rows, table_name, mode, f"{location.rstrip('/')}/{table_name}" if location else None)
+        return table_name
+
+    with ThreadPoolExecutor(max_workers=max(1, concurrent)) as pool:
+        return list(pool.map(load, paths))
 
 
 def two_level_rows(

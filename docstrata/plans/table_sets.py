@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from docstrata.conventions import DOCUMENT_KEY, ORIGIN_COLUMN
+from docstrata.conventions import CATALOG_FILE_NAME, DOCUMENT_KEY, ORIGIN_COLUMN
 from docstrata.errors import NameClash
 from docstrata.operators.extract import child_tables, main_table
-from docstrata.sinks.tables import write_catalog, write_tables
+from docstrata.session import scratch_path
+from docstrata.sinks.tables import write_catalog, write_schema_tree, write_tables
 from docstrata.sources.documents import land_as_parquet, read_documents
 
 
@@ -31,16 +32,19 @@ def json_to_tables(
     key_col: str = DOCUMENT_KEY,
     file_format: str = "csv",
     landing: str | None = None,
-    concurrent: int = 1,
+    concurrent: int = 3,
+    multiline: bool = False,
 ) -> list[str]:
-    """JSON files to a schema catalogue and a table set under ``target``.
+    """JSON files to a schema catalogue, a schema tree and a table set under ``target``.
 
-    With ``landing`` the documents are first written to Parquet there, so that the JSON is parsed once
-    and each table reads only the columns of its own array.
+    The documents are first written to Parquet, in ``landing`` or else a scratch folder, so that the JSON
+    is parsed once and each table reads only the columns of its own array.
     """
-    documents = read_documents(spark, source, schema, origin=True)
-    write_catalog(documents.drop(ORIGIN_COLUMN), f"{target.rstrip('/')}/schema_info.csv")
-    if landing:
-        documents = land_as_parquet(documents, landing)
-    tables = flatten_documents(documents, name, key_col, origin_col=ORIGIN_COLUMN)
-    return write_tables(tables, target, file_format, concurrent)
+    documents = read_documents(spark, source, schema, multiline, origin=True)
+    described = documents.drop(ORIGIN_COLUMN)
+    root = target.rstrip("/")
+    write_catalog(described, f"{root}/{CATALOG_FILE_NAME}")
+    write_schema_tree(described, f"{root}/schema_tree.txt")
+    landed = land_as_parquet(documents, landing or scratch_path(spark, f"{name}-landing"))
+    tables = flatten_documents(landed, name, key_col, origin_col=ORIGIN_COLUMN)
+    return write_tables(tables, root, file_format, concurrent)

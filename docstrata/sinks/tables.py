@@ -5,25 +5,22 @@ from __future__ import annotations
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from docstrata.conventions import NULL_MARKER
 from docstrata.functions.schema_walk import top_column
-from docstrata.functions.values import as_text
+from docstrata.functions.values import NESTED_TYPES, as_text
 from docstrata.operators.catalog import schema_catalog, schema_tree_rows
 from docstrata.operators.drift import as_delimited_report
 from docstrata.operators.nulls import mark_nulls
 from docstrata.operators.profile import profile_reports
 
-_NESTED = (T.MapType, T.ArrayType, T.StructType, T.VariantType)
-
-
 def _flat(df: DataFrame) -> DataFrame:
     """Maps and other nested values as JSON text; delimited files hold plain values only."""
-    if not any(isinstance(f.dataType, _NESTED) for f in df.schema.fields):
+    if not any(isinstance(f.dataType, NESTED_TYPES) for f in df.schema.fields):
         return df
     return df.select(*[
-        as_text(top_column(f.name), f.dataType).alias(f.name) if isinstance(f.dataType, _NESTED) else top_column(f.name)
+        as_text(top_column(f.name), f.dataType).alias(f.name) if isinstance(f.dataType, NESTED_TYPES) else top_column(f.name)
         for f in df.schema.fields
     ])
 
@@ -45,7 +42,7 @@ def write_tables(
     tables: Mapping[str, DataFrame],
     folder: str,
     file_format: str = "csv",
-    concurrent: int = 1,
+    concurrent: int = 3,
     skip_empty: bool = False,
     rebalance: bool = False,
 ) -> list[str]:

@@ -148,13 +148,13 @@ def q_table_names(spark, sf_dir):
 @query(f"""WITH {sql.LINES}
 SELECT text, CAST(length(text) AS INTEGER) AS n_chars, count(*) AS n FROM lines GROUP BY text""")
 def q_child_explode(spark, sf_dir):
-    lines = child_table(text_docs(spark, sf_dir), "lines", keys=False)
+    lines = child_table(text_docs(spark, sf_dir, ("text", "n_chars")), "lines", keys=False)
     return lines.groupBy("text", "n_chars").agg(F.count("*").alias("n"))
 
 
 @query(f"WITH {sql.LINES} SELECT doc_id AS root_id, pos AS lines_pos, text, CAST(length(text) AS INTEGER) AS n_chars FROM lines")
 def q_child_one_level(spark, sf_dir):
-    return child_table(text_docs(spark, sf_dir), "lines")
+    return child_table(text_docs(spark, sf_dir, ("text", "n_chars")), "lines")
 
 
 @query(f"""WITH {sql.WORDS}
@@ -162,7 +162,7 @@ SELECT doc_id AS root_id, pos AS lines_pos, wpos AS words_pos, word, CAST(length
        regexp_extract(word, '[.,]$') AS mark
 FROM words""")
 def q_child_two_levels(spark, sf_dir):
-    return child_table(text_docs(spark, sf_dir), "lines.words")
+    return child_table(text_docs(spark, sf_dir, ("words",)), "lines.words")
 
 
 @query(f"""WITH {sql.CHARGES}
@@ -178,7 +178,7 @@ SELECT 'documents_main' AS table_name, count(*) AS row_count FROM documents
 UNION ALL SELECT 'lines', count(*) FROM lines
 UNION ALL SELECT 'lines_words', count(*) FROM words""")
 def q_all_children_counts(spark, sf_dir):
-    return row_counts(flatten_documents(text_docs(spark, sf_dir), "documents"))
+    return row_counts(flatten_documents(text_docs(spark, sf_dir, _COUNTED_LINES), "documents"))
 
 
 @query(f"""WITH {sql.LINKS}, {sql.HEADS}
@@ -225,7 +225,7 @@ SELECT CAST(w.doc_id AS VARCHAR) AS _id, CAST(length(l.text) AS VARCHAR) AS n_ch
        coalesce(nullif(regexp_extract(w.word, '[.,]$'), ''), 'NULL') AS mark
 FROM words w JOIN lines l ON l.doc_id = w.doc_id AND l.pos = w.pos""")
 def q_nested_extract(spark, sf_dir):
-    rows = two_level_rows(text_docs(spark, sf_dir), "lines", "words", ["n_chars"], drop=["size"])
+    rows = two_level_rows(text_docs(spark, sf_dir, _COUNTED_LINES), "lines", "words", ["n_chars"], drop=["size"])
     return mark_nulls(rows)
 
 
@@ -256,20 +256,18 @@ FROM lines l JOIN documents d ON d.doc_id = l.doc_id
 LEFT JOIN words w ON w.doc_id = l.doc_id AND w.pos = l.pos"""
 
 
-def _word_docs(spark, sf_dir):
-    """Text documents without the text of the lines, which would be repeated for every word."""
-    docs = text_docs(spark, sf_dir)
-    return docs.withColumn("lines", F.transform("lines", lambda line: line.dropFields("text")))
+# Without the text of the lines, which would be repeated for every word.
+_COUNTED_LINES = ("n_chars", "words")
 
 
 @query(f"WITH {sql.WORDS}" + _LABELLED_WORDS.format(dot=".", lead="_", inner="'words_' || w.wpos"))
 def q_labels_v1(spark, sf_dir):
-    return flatten_labeled(_word_docs(spark, sf_dir), OWN)
+    return flatten_labeled(text_docs(spark, sf_dir, _COUNTED_LINES), OWN)
 
 
 @query(f"WITH {sql.WORDS}" + _LABELLED_WORDS.format(dot="_", lead="", inner="'lines_' || l.pos || '_words_' || w.wpos"))
 def q_labels_v2(spark, sf_dir):
-    return flatten_labeled(_word_docs(spark, sf_dir), CHAIN)
+    return flatten_labeled(text_docs(spark, sf_dir, _COUNTED_LINES), CHAIN)
 
 
 @query(f"""WITH {sql.STEPS}, {sql.HEADS}

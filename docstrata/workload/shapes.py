@@ -7,6 +7,8 @@ that key has in one task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -59,17 +61,26 @@ def line_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def text_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+LINE_FIELDS = ("text", "n_chars", "words")
+
+
+def text_docs(spark: SparkSession, sf_dir: str, line_fields: Sequence[str] = LINE_FIELDS) -> DataFrame:
     """``_id, about struct<lang, source>, lines array<struct<text, n_chars, words array<struct<...>>>>``.
 
-    Blank lines have no words.
+    Blank lines have no words. ``line_fields`` leaves out fields a query has no use for, since nothing
+    prunes the fields of a computed array.
     """
     def word(w: Column) -> Column:
-        return F.struct(w.alias("word"), F.length(w).alias("size"), F.regexp_extract(w, "[.,]$", 0).alias("mark"))
+        mark = F.when(F.endswith(w, F.lit(".")), ".").when(F.endswith(w, F.lit(",")), ",").otherwise("")
+        return F.struct(w.alias("word"), F.length(w).alias("size"), mark.alias("mark"))
 
     def line(text: Column) -> Column:
-        words = F.filter(F.split(text, " "), lambda w: w != "")
-        return F.struct(text.alias("text"), F.length(text).alias("n_chars"), F.transform(words, word).alias("words"))
+        fields = {
+            "text": lambda: text,
+            "n_chars": lambda: F.length(text),
+            "words": lambda: F.transform(F.array_remove(F.split(text, " "), ""), word),
+        }
+        return F.struct(*[fields[name]().alias(name) for name in line_fields])
 
     return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("_id"), F.struct("lang", "source").alias("about"),

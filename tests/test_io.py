@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from docstrata.__main__ import main
 from docstrata import ancestors, array_fields, empty_to_null, fill_missing, json_to_tables, load_folder, mark_nulls, schema_catalog, schema_tree
 from docstrata.functions.names import child_table_name, object_name, parent_path, routed_table
 from docstrata.operators.catalog import with_hierarchy
@@ -127,6 +128,41 @@ def test_saved_table_modes(spark, tmp_path):
     assert spark.table("saved_rows").count() == 3
 
 
+def test_files_of_one_table_are_matched_by_name(spark, tmp_path):
+    for place, text in (("a", "id,name\n1,ann\n"), ("b", "name,id\nbob,2\n"), ("c", "id,age\n3,30\n")):
+        (tmp_path / "in" / place).mkdir(parents=True)
+        (tmp_path / "in" / place / "crew.csv").write_text(text)
+    spark.sql("DROP TABLE IF EXISTS crew")
+    assert load_folder(spark, str(tmp_path / "in"), location=str(tmp_path / "wh"), concurrent=2) == ["crew"]
+    found = {(r.id, r.name, r.age) for r in spark.table("crew").collect()}
+    assert found == {("1", "ann", None), ("2", "bob", None), ("3", None, "30")}
+
+
+def test_jobs_from_the_command_line(spark, tmp_path):
+    source = tmp_path / "docs.json"
+    source.write_text('{"_id":1,"a":[{"x":1},{"x":2}]}\n{"_id":2,"a":[]}\n')
+    out = tmp_path / "out"
+    main(["flatten", str(source), str(out), "docs"], spark)
+    assert {p.name for p in out.iterdir()} == {"schema_info.csv", "schema_tree.txt", "docs_main.csv", "a.csv"}
+    spark.sql("DROP TABLE IF EXISTS docs_main")
+    spark.sql("DROP TABLE IF EXISTS a")
+    main(["load", str(out), "--location", str(tmp_path / "wh")], spark)
+    assert spark.table("a").count() == 2 and spark.table("docs_main").count() == 2
+    main(["profile", str(out), str(tmp_path / "profile"), "--loose"], spark)
+    reports = spark.read.text(str(tmp_path / "profile"), wholetext=True).collect()
+    assert sum(r.value.count("DataFrame_name") for r in reports) == 2
+    (tmp_path / "catalogs").mkdir()
+    (tmp_path / "catalogs" / "f1.csv").write_text("Field,Hierarchy,Data Type\nx,root,string\n")
+    (tmp_path / "catalogs" / "f2.csv").write_text("Field,Hierarchy,Data Type\nx,root,bigint\ny,root,int\n")
+    for flags, fields in (([], {"x"}), (["--absence"], {"x", "y"})):
+        main(["drift", str(tmp_path / "catalogs"), str(tmp_path / "drift"), *flags], spark)
+        assert {r.Field for r in read_delimited(spark, str(tmp_path / "drift")).collect()} == fields
+    main(["list", str(out), str(tmp_path / "folders"), "--folders"], spark)
+    assert {r.Folder for r in read_delimited(spark, str(tmp_path / "folders")).collect()} >= {"a.csv", "docs_main.csv"}
+    main(["list", str(out), str(tmp_path / "files")], spark)
+    assert read_delimited(spark, str(tmp_path / "files")).columns == ["FilePath", "LastModified", "Size"]
+
+
 @pytest.mark.parametrize("landed", [False, True])
 def test_json_to_tables(spark, tmp_path, landed):
     source = tmp_path / "docs.json"

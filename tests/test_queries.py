@@ -21,6 +21,13 @@ def test_query_matches_sql(spark, duck, name):
     assert rows == expected
 
 
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plan_has_no_product_of_rows(spark, name):
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "Window"):
+        assert operator not in plan
+
+
 def test_checks_belong_to_queries():
     assert set(CHECKS) <= set(QUERIES)
 
