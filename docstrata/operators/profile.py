@@ -1,8 +1,9 @@
-"""Column profile: five counts and a class per column, from one aggregate over the table.
+"""Column profile: five counts and a class per column, from one aggregate over all tables.
 
-The counts of all columns are computed side by side in a single pass whose partial results are a
-handful of longs per task, so neither the row count nor skew in the values matters for the exchange.
-Only text columns are looked at as text; for numbers the same answer follows from the value itself.
+Each row becomes one small code per column (null, empty, integer, decimal, other), and the codes are counted
+per column. The plan is the same for any number of columns, and counting is pre-aggregated within each
+task to a few rows per column, so neither row count nor skew in the values matters for the exchange. Only text
+is looked at as text; for numbers the code follows from the value itself.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from docstrata.errors import LayoutError
 from docstrata.functions.values import NESTED_TYPES, pretty_json
 
 _COUNTS = ("null_count", "empty_count", "integer_count", "decimal_count", "string_count")
+_NULL, _EMPTY, _INTEGER, _DECIMAL, _OTHER = range(5)
 _NEVER_NUMERIC = (T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, *NESTED_TYPES)
 
 
@@ -35,31 +37,26 @@ def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _value_tests(column: str, data_type: T.DataType) -> tuple[str, str, str]:
-    """SQL tests: is the value, written as text, empty / an unsigned integer / an unsigned decimal?"""
-    if isinstance(data_type, T.IntegralType):
-        return "false", f"{column} >= 0", f"{column} >= 0"
-    if isinstance(data_type, (T.DoubleType, T.FloatType)):
+def _code(name: str, data_type: T.DataType) -> str:
+    """SQL of the code of one value. As text, because a wide table has thousands of expressions."""
+    column = _quoted(name)
+    if isinstance(data_type, _NEVER_NUMERIC):
+        found = ""
+    elif isinstance(data_type, T.IntegralType):
+        found = f"WHEN {column} >= 0 THEN {_INTEGER} "
+    elif isinstance(data_type, (T.DoubleType, T.FloatType)):
         # Text form of a double: plain digits with a point from 1e-3 up to 1e7, otherwise with an exponent.
         plain = f"double({column}) >= 1e-3 AND double({column}) < 1e7"
-        return "false", "false", f"({plain}) OR ({column} = 0 AND string({column}) = '0.0')"
-    if isinstance(data_type, _NEVER_NUMERIC):
-        return "false", "false", "false"
-    text = column if isinstance(data_type, T.StringType) else f"string({column})"
-    # The first character spares nearly all prose the pattern, and the decoding that comes with it.
-    decimal = f"substring({text}, 1, 1) BETWEEN '0' AND '9' AND {text} RLIKE {_literal(DECIMAL_TEXT)}"
-    return f"{text} = ''", f"{decimal} AND NOT contains({text}, '.')", decimal
-
-
-def _column_counts(name: str, data_type: T.DataType) -> str:
-    """SQL of one column's counts; as text because a wide table has thousands of expressions."""
-    column = _quoted(name)
-    empty, integer, decimal = _value_tests(column, data_type)
-    return (
-        f"struct(count(*) - count({column}) AS null_count, count_if({empty}) AS empty_count, "
-        f"count_if({integer}) AS integer_count, count_if({decimal}) AS decimal_count, "
-        f"count({column}) - count_if({empty}) AS string_count)"
-    )
+        found = f"WHEN ({plain}) OR ({column} = 0 AND string({column}) = '0.0') THEN {_DECIMAL} "
+    else:
+        text = column if isinstance(data_type, T.StringType) else f"string({column})"
+        # The first character spares nearly all prose the pattern, and the decoding that comes with it.
+        found = (
+            f"WHEN {text} = '' THEN {_EMPTY} "
+            f"WHEN NOT (substring({text}, 1, 1) BETWEEN '0' AND '9' AND {text} RLIKE {_literal(DECIMAL_TEXT)}) THEN {_OTHER} "
+            f"WHEN contains({text}, '.') THEN {_DECIMAL} WHEN true THEN {_INTEGER} "
+        )
+    return f"tinyint(CASE WHEN {column} IS NULL THEN {_NULL} {found}ELSE {_OTHER} END)"
 
 
 def _class_of(strict: bool) -> str:
@@ -73,38 +70,55 @@ def _class_of(strict: bool) -> str:
     )
 
 
-def profile_columns(df: DataFrame, name: str, strict: bool = True) -> DataFrame:
-    """One row per column of ``df``: name, type, total, five counts and class.
+def profile_tables(tables: Mapping[str, DataFrame], strict: bool = True) -> DataFrame:
+    """One row per column of every named table: name, type, total, five counts and class.
 
     A decimal count includes the integers. The class is the first that fits of null, integer, decimal
     and string, blanks being allowed in each. With ``strict=False`` text columns holding numeric and
     other values are ``mixed``.
     """
-    fields = df.schema.fields
-    if not fields:
-        raise LayoutError(f"{name!r} has no columns to profile")
-    counted = df.agg(
-        F.count("*").alias("total_count"),
-        *[F.expr(f"{_column_counts(f.name, f.dataType)} AS c{i}") for i, f in enumerate(fields)],
+    if not tables:
+        raise LayoutError("no tables to profile")
+    columns, codes = [], []
+    for number, (name, df) in enumerate(tables.items()):
+        fields = df.schema.fields
+        if not fields:
+            raise LayoutError(f"{name!r} has no columns to profile")
+        columns += [
+            f"({number}, {i}, {_literal(name)}, {_literal(f.name)}, {_literal(f.dataType.simpleString())})"
+            for i, f in enumerate(fields)
+        ]
+        row_codes = ", ".join(_code(f.name, f.dataType) for f in fields)
+        codes.append(df.selectExpr(f"{number} AS table_no", f"posexplode(array({row_codes})) AS (ordinal, code)"))
+
+    per_code = reduce(DataFrame.unionAll, codes).groupBy("table_no", "ordinal", "code").count()
+
+    def rows_with(*wanted: int) -> Column:
+        return F.sum(F.when(F.col("code").isin(*wanted), F.col("count")).otherwise(F.lit(0)))
+
+    counted = per_code.groupBy("table_no", "ordinal").agg(
+        F.sum("count").alias("total_count"),
+        rows_with(_NULL).alias("null_count"),
+        rows_with(_EMPTY).alias("empty_count"),
+        rows_with(_INTEGER).alias("integer_count"),
+        rows_with(_INTEGER, _DECIMAL).alias("decimal_count"),
+        rows_with(_INTEGER, _DECIMAL, _OTHER).alias("string_count"),
     )
-    per_column = ", ".join(
-        f"struct({i} AS ordinal, {_literal(f.name)} AS column_name, {_literal(f.dataType.simpleString())} AS data_type, c{i}.*)"
-        for i, f in enumerate(fields)
+    # The list of columns brings back those of tables without rows.
+    listed = codes[0].sparkSession.sql(
+        f"SELECT * FROM VALUES {', '.join(columns)} AS t(table_no, ordinal, DataFrame_name, column_name, data_type)"
     )
+    totals = ("total_count", *_COUNTS)
     return (
-        counted.selectExpr("total_count", f"inline(array({per_column}))")
-        .selectExpr(
-            f"{_literal(name)} AS DataFrame_name", "ordinal", "column_name", "data_type", "total_count", *_COUNTS,
-            _class_of(strict),
-        )
+        listed.join(counted, ["table_no", "ordinal"], "left")
+        .select("DataFrame_name", "ordinal", "column_name", "data_type", *[F.coalesce(c, F.lit(0)).alias(c) for c in totals])
+        .selectExpr("*", _class_of(strict))
     )
 
 
-def profile_tables(tables: Mapping[str, DataFrame], strict: bool = True) -> DataFrame:
-    """The profiles of several named tables, one aggregate per table."""
-    if not tables:
-        raise LayoutError("no tables to profile")
-    return reduce(DataFrame.unionByName, [profile_columns(df, name, strict) for name, df in tables.items()])
+def profile_columns(df: DataFrame, name: str, strict: bool = True) -> DataFrame:
+    """The profile of one table."""
+    return profile_tables({name: df}, strict)
 
 
 def profile_reports(tables: Mapping[str, DataFrame], strict: bool = True) -> DataFrame:
@@ -112,13 +126,7 @@ def profile_reports(tables: Mapping[str, DataFrame], strict: bool = True) -> Dat
 
     Grouping is by table, and a group has one row per column of that table's schema.
     """
-    report_parts = []
-    for name, df in tables.items():
-        schema = F.parse_json(F.lit(df.schema.json()))
-        report_parts.append(profile_columns(df, name, strict).withColumn("schema_json", F.to_json(schema)))
-    rows = reduce(DataFrame.unionByName, report_parts)
-    gathered = rows.groupBy("DataFrame_name").agg(
-        F.first("schema_json").alias("schema_json"),
+    gathered = profile_tables(tables, strict).groupBy("DataFrame_name").agg(
         F.sort_array(F.collect_list(F.struct("ordinal", "column_name", "column_class", *_COUNTS))).alias("found"),
     )
 
@@ -129,9 +137,10 @@ def profile_reports(tables: Mapping[str, DataFrame], strict: bool = True) -> Dat
     frequencies = F.map_from_entries(F.transform("found", lambda c: F.struct(
         c["column_name"], F.struct(*[c[count].alias(count) for count in _COUNTS])
     )))
+    schemas = F.create_map(*[F.lit(text) for name, df in tables.items() for text in (name, df.schema.json())])
     report = F.struct(
         F.col("DataFrame_name"),
-        F.parse_json("schema_json").alias("schema"),
+        F.parse_json(schemas[F.col("DataFrame_name")]).alias("schema"),
         F.transform("found", lambda c: c["column_name"]).alias("column_names"),
         *[named(c) for c in (CLASS_INTEGER, CLASS_DECIMAL, CLASS_STRING, CLASS_MIXED, CLASS_NULL)],
         frequencies.alias("column_frequencies"),

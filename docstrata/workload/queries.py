@@ -260,9 +260,11 @@ LEFT JOIN words w ON w.doc_id = l.doc_id AND w.pos = l.pos"""
 _COUNTED_LINES = ("n_chars", "words")
 
 
-@query(f"WITH {sql.WORDS}" + _LABELLED_WORDS.format(dot=".", lead="_", inner="'words_' || w.wpos"))
+@query(f"WITH {sql.WORDS}" + _LABELLED_WORDS.format(dot="__", lead="_", inner="'words_' || w.wpos"))
 def q_labels_v1(spark, sf_dir):
-    return flatten_labeled(text_docs(spark, sf_dir, _COUNTED_LINES), OWN)
+    flat = flatten_labeled(text_docs(spark, sf_dir, _COUNTED_LINES), OWN)
+    # This style names columns with dots, which would have to be quoted wherever they are selected.
+    return flat.toDF(*[name.replace(".", "__") for name in flat.columns])
 
 
 @query(f"WITH {sql.WORDS}" + _LABELLED_WORDS.format(dot="_", lead="", inner="'lines_' || l.pos || '_words_' || w.wpos"))
