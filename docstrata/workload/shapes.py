@@ -145,19 +145,14 @@ def written_json(df: DataFrame, label: str) -> str:
 
 
 def written_json_lists(df: DataFrame, label: str) -> str:
-    """The frame as JSON files that hold one list each, one file per partition, in a fresh scratch folder."""
+    """The frame as JSON files in a fresh scratch folder, each one list of at most one Arrow batch of rows."""
     path = scratch_path(df.sparkSession, label)
 
-    def bracketed(pieces):
-        lead = "["
-        for piece in pieces:
-            if len(piece):
-                texts = piece["value"].tolist()
-                yield pd.DataFrame({"value": [lead + texts[0], *("," + text for text in texts[1:])]})
-                lead = ","
-        if lead == ",":
-            yield pd.DataFrame({"value": ["]"]})
+    def as_lists(batches):
+        for batch in batches:
+            if len(batch):
+                yield pd.DataFrame({"value": ["[" + ",\n".join(batch["value"]) + "]"]})
 
     lines = df.select(F.to_json(F.struct("*")).alias("value"))
-    lines.mapInPandas(bracketed, "value string").write.text(path)
+    lines.mapInPandas(as_lists, "value string").write.option("maxRecordsPerFile", 1).text(path)
     return path

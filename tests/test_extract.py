@@ -7,6 +7,8 @@ from docstrata import LayoutError, NameClash, child_table, child_tables, drop_ar
 from docstrata.functions.schema_walk import array_paths
 from docstrata.operators.extract import batches, row_counts, tables_as_one
 from docstrata.plans.table_sets import flatten_documents
+from docstrata.workload.shapes import text_docs
+from conftest import SF_DIR
 
 
 def rows(df):
@@ -179,3 +181,17 @@ def test_child_scan_reads_only_its_array(spark, json_docs, tmp_path):
     plan = child_table(spark.read.parquet(str(tmp_path / "landed")), "a.b")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<_id:bigint,a:array<struct<b:array<struct<y:bigint,z:bigint>>>>>" in plan
     assert "Exchange" not in plan
+
+
+def test_properties_on_the_given_tables(spark):
+    docs = text_docs(spark, SF_DIR).cache()
+    lines, words = child_table(docs, "lines"), child_table(docs, "lines.words")
+    assert main_table(docs).count() == docs.count()
+    sizes = docs.select(
+        F.sum(F.size("lines")).alias("lines"),
+        F.sum(F.aggregate("lines", F.lit(0), lambda n, line: n + F.size(line["words"]))).alias("words"),
+    ).collect()[0]
+    assert (lines.count(), words.count()) == (sizes.lines, sizes.words)
+    assert words.select("root_id", "lines_pos", "words_pos").distinct().count() == sizes.words
+    assert words.join(lines, ["root_id", "lines_pos"], "left_anti").isEmpty()
+    docs.unpersist()
