@@ -11,6 +11,9 @@ growth is not wanted, ``labeled_tables`` or ``child_tables`` give one table per
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from docstrata.conventions import ROOT_KEY
@@ -38,34 +41,91 @@ def _label(path: Path, position: Column, above: Column | None, style: str) -> Co
     return own if style == OWN or above is None else F.concat(above, F.lit("_"), own)
 
 
-class _Opened:
-    """A frame in which arrays have been opened so far, under numbered helper columns."""
+@dataclass(frozen=True)
+class _Node:
+    """A value to be laid out: where it is now, its source path, and the label of the array around it."""
 
-    def __init__(self, df: DataFrame, count: int = 0):
-        self.df = df
-        self.count = count
+    column: Column
+    data_type: T.DataType
+    path: Path
+    above: Column | None
+    nesting: int = 1
+
+    def leaves(self) -> list[_Node]:
+        """The node itself, or the plain values and arrays below a struct, in document order."""
+        if not is_struct(self.data_type):
+            return [self]
+        fields = [
+            _Node(self.column.getField(f.name), f.dataType, self.path + (f.name,), self.above)
+            for f in self.data_type.fields
+        ]
+        return [leaf for field in fields for leaf in field.leaves()]
+
+    def element(self, item: Column, label: Column) -> _Node:
+        return _Node(item, self.data_type.elementType, self.path, label, self.nesting + 1)
+
+
+class _Layout:
+    """A frame being laid out. ``live`` names the helper columns that later steps still need.
+
+    Every step selects just those, so that an array, or a struct holding one, is never copied along
+    with each of its own elements.
+    """
 
-    def open(self, array: Column, outer: bool) -> tuple[_Opened, Column, Column]:
-        position, item = f"__at{self.count}", f"__of{self.count}"
+    def __init__(self, df: DataFrame, live: tuple[str, ...] = (), made: int = 0):
+        self.df = df
+        self.live = live
+        self.made = made
+
+    def _fresh(self, count: int) -> list[str]:
+        self.made += count
+        return [f"__{number}" for number in range(self.made - count, self.made)]
+
+    def _kept(self) -> list[Column]:
+        return [top_column(name) for name in self.live]
+
+    def hold(self, columns: Sequence[Column]) -> list[str]:
+        """Compute columns from the current row and keep only them and what is live."""
+        names = self._fresh(len(columns))
+        self.df = self.df.select(*self._kept(), *[c.alias(name) for c, name in zip(columns, names)])
+        self.live += tuple(names)
+        return names
+
+    def open(self, array: Column, outer: bool) -> tuple[Column, Column]:
+        """One row per element; returns its position, which stays live, and the element, which does not."""
+        position, item = self._fresh(2)
         generator = F.posexplode_outer(array) if outer else F.posexplode(array)
-        opened = _Opened(self.df.select("*", generator.alias(position, item)), self.count + 1)
-        return opened, F.col(position), F.col(item)
-
-
-def _unroll(state, column, data_type, path, above, style, nesting=1):
-    """Cells of everything at and below ``column``, in document order, and the frame they live in."""
-    if is_struct(data_type):
-        cells = []
-        for field in data_type.fields:
-            state, inner = _unroll(state, column.getField(field.name), field.dataType, path + (field.name,), above, style)
-            cells += inner
-        return state, cells
-    if is_array(data_type):
-        state, position, item = state.open(column, outer=True)
-        label = _label(path, position, above, style)
-        state, cells = _unroll(state, item, data_type.elementType, path, label, style, nesting + 1)
-        return state, cells + [Cell(_index_name(path, style, nesting), label, T.StringType(), path)]
-    return state, [Cell(_cell_name(path, style), column, data_type, path)]
+        self.df = self.df.select(*self._kept(), generator.alias(position, item))
+        self.live += (position,)
+        return F.col(position), F.col(item)
+
+    def release(self, name: str) -> None:
+        self.live = tuple(n for n in self.live if n != name)
+
+    def copy(self) -> _Layout:
+        return _Layout(self.df, self.live, self.made)
+
+
+def _unroll(layout: _Layout, nodes: Sequence[_Node], style: str) -> list[Cell]:
+    """Cells of everything at and below the nodes, in document order, arrays opened by outer generators."""
+    leaves = [leaf for node in nodes for leaf in node.leaves()]
+    cells = []
+    for leaf, name in zip(leaves, layout.hold([leaf.column for leaf in leaves])):
+        if not is_array(leaf.data_type):
+            cells.append(Cell(_cell_name(leaf.path, style), F.col(name), leaf.data_type, leaf.path))
+            continue
+        layout.release(name)
+        position, item = layout.open(F.col(name), outer=True)
+        label = _label(leaf.path, position, leaf.above, style)
+        cells += _unroll(layout, [leaf.element(item, label)], style)
+        cells.append(Cell(_index_name(leaf.path, style, leaf.nesting), label, T.StringType(), leaf.path))
+    return cells
+
+
+def _top_nodes(df: DataFrame, above: Column | None, leave_out: str | None) -> list[_Node]:
+    return [
+        _Node(top_column(f.name), f.dataType, (f.name,), above) for f in df.schema.fields if f.name != leave_out
+    ]
 
 
 def flatten_labeled(df: DataFrame, style: str = CHAIN, list_position: str | None = None) -> DataFrame:
@@ -76,16 +136,14 @@ def flatten_labeled(df: DataFrame, style: str = CHAIN, list_position: str | None
     """
     if style not in (OWN, CHAIN):
         raise LayoutError(f"unknown label style {style!r}")
-    above, cells, state = None, [], _Opened(df)
+    layout, above = _Layout(df), None
     if list_position:
+        layout.live = (list_position,)
         above = _label((LIST_NAME,), top_column(list_position), None, style)
-    for field in df.schema.fields:
-        if field.name != list_position:
-            state, inner = _unroll(state, top_column(field.name), field.dataType, (field.name,), above, style)
-            cells += inner
+    cells = _unroll(layout, _top_nodes(df, above, list_position), style)
     if list_position:
         cells.append(Cell(_index_name((LIST_NAME,), style, 1), above, T.StringType(), (list_position,)))
-    return select_cells(state.df, cells)
+    return select_cells(layout.df, cells)
 
 
 def labeled_tables(df: DataFrame, key_col: str | None = None, list_position: str | None = None) -> dict[str, DataFrame]:
@@ -98,28 +156,31 @@ def labeled_tables(df: DataFrame, key_col: str | None = None, list_position: str
     """
     tables: dict[str, DataFrame] = {}
     root = []
+    carried = {name: None for name in (key_col, list_position) if name}  # in order, each once
     if key_col:
         root = [Cell(ROOT_KEY, top_column(key_col), df.schema[key_col].dataType, (key_col,))]
 
-    def visit(state, column, data_type, path, above, nesting=1):
-        if is_struct(data_type):
-            for field in data_type.fields:
-                visit(state, column.getField(field.name), field.dataType, path + (field.name,), above)
-        elif is_array(data_type):
-            state, position, item = state.open(column, outer=False)
-            label = _label(path, position, above, CHAIN)
-            if nesting == 1:
-                inner_state, cells = _unroll(state, item, data_type.elementType, path, label, CHAIN, nesting + 1)
-                index = Cell(_index_name(path, CHAIN, nesting), label, T.StringType(), path)
-                name = underscored(path)
+    def visit(layout: _Layout, node: _Node) -> None:
+        for leaf in node.leaves():
+            if not is_array(leaf.data_type):
+                continue
+            opened = layout.copy()
+            position, item = opened.open(leaf.column, outer=False)
+            element = leaf.element(item, _label(leaf.path, position, leaf.above, CHAIN))
+            if leaf.nesting == 1:
+                name = underscored(leaf.path)
                 if name in tables:
                     raise LayoutError(f"two array paths would share the table {name!r}")
-                tables[name] = select_cells(inner_state.df, root + cells + [index])
-            visit(state, item, data_type.elementType, path, label, nesting + 1)
+                inner = opened.copy()
+                cells = _unroll(inner, [element], CHAIN)
+                index = Cell(_index_name(leaf.path, CHAIN, 1), element.above, T.StringType(), leaf.path)
+                tables[name] = select_cells(inner.df, root + cells + [index])
+            visit(opened, element)
 
-    above = _label((LIST_NAME,), top_column(list_position), None, CHAIN) if list_position else None
+    above = None
     if list_position:
+        above = _label((LIST_NAME,), top_column(list_position), None, CHAIN)
         tables[LIST_NAME] = flatten_labeled(df, CHAIN, list_position)
-    for field in df.schema.fields:
-        visit(_Opened(df), top_column(field.name), field.dataType, (field.name,), above)
+    for node in _top_nodes(df, above, list_position):
+        visit(_Layout(df, tuple(carried)), node)
     return tables

@@ -58,8 +58,9 @@ def parse_json_column(df: DataFrame, column: str, schema: T.StructType | str, in
 def land_as_parquet(df: DataFrame, path: str) -> DataFrame:
     """Write documents to Parquet and read them back from there.
 
-    JSON is parsed in full for every table taken from it. From Parquet each table reads only its own
-    array's columns, so many tables off one delivery start from here.
+    JSON is parsed in full for every table taken from it, and documents computed in the plan, such as
+    parsed text columns, even twice: once to skip empty arrays, once to open them. From Parquet each table
+    reads only its own array's columns, so many tables off one delivery start from here.
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)

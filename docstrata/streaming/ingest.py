@@ -38,7 +38,7 @@ def ingest_documents(
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        landed = land_as_parquet(batch, f"{root}/landed/{name}/{BATCH}={batch_id}")
+        landed = land_as_parquet(batch, f"{root}/_landed/{name}/{BATCH}={batch_id}")
         for table, rows in flatten_documents(landed, name, key_col).items():
             rows.write.mode("overwrite").parquet(f"{root}/{table}/{BATCH}={batch_id}")
 

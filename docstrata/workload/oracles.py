@@ -16,7 +16,7 @@ words AS (
 )"""
 
 CHARGES = """
-items AS (SELECT row_number() OVER () AS rid, * FROM lineitem),
+items AS MATERIALIZED (SELECT row_number() OVER () AS rid, * FROM lineitem),
 charges AS (
   SELECT rid, l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity, 'discount' AS kind,
          l_discount AS rate, 0 AS pos

@@ -42,7 +42,7 @@ from docstrata.operators.nulls import empty_to_null, mark_nulls
 from docstrata.operators.profile import profile_columns, profile_reports, profile_tables
 from docstrata.plans.load import load_folder, two_level_rows
 from docstrata.plans.table_sets import flatten_documents, json_to_tables
-from docstrata.session import scratch_path
+from docstrata.session import scratch_path, settle
 from docstrata.sinks.tables import write_catalog, write_delimited
 from docstrata.sources.delimited import read_catalogs
 from docstrata.sources.documents import parse_json_column, read_documents, with_origin
@@ -178,7 +178,9 @@ SELECT 'documents_main' AS table_name, count(*) AS row_count FROM documents
 UNION ALL SELECT 'lines', count(*) FROM lines
 UNION ALL SELECT 'lines_words', count(*) FROM words""")
 def q_all_children_counts(spark, sf_dir):
-    return row_counts(flatten_documents(text_docs(spark, sf_dir, _COUNTED_LINES), "documents"))
+    # Several tables off one computed input: built once, landed, and each table reads its own columns.
+    landed = settle(text_docs(spark, sf_dir, _COUNTED_LINES), "text-documents")
+    return row_counts(flatten_documents(landed, "documents"))
 
 
 @query(f"""WITH {sql.LINKS}, {sql.HEADS}

@@ -183,6 +183,55 @@ def test_child_scan_reads_only_its_array(spark, json_docs, tmp_path):
     assert "Exchange" not in plan
 
 
+def _records(**fields):
+    """A record type from nested keyword arguments; lists hold records, dicts are structs."""
+    def kind(value):
+        if isinstance(value, list):
+            return T.ArrayType(_records(**value[0]))
+        return _records(**value) if isinstance(value, dict) else T.StringType()
+
+    return T.StructType([T.StructField(name, kind(value)) for name, value in fields.items()])
+
+
+def test_tables_of_a_deep_document_type(spark):
+    leaf = {"v": "", "info": {"w": ""}}
+    schema = _records(
+        _id="",
+        applicantList=[{
+            "phone": [leaf], "kyc": [leaf], "businessDetails": {"gstDetails": [leaf]},
+            "contactPersons": [{"phone": [leaf], "name": ""}],
+            "customObject": {"aLog": [leaf], "Policy": {"oAddendum": {"aQuestions": [{"aMember": [leaf], "q": ""}]}}},
+        }],
+        creditPd={"activityLogs": [leaf]},
+        creditDetails=[{"outputs": [leaf]}],
+        salesDetails=[{"outputs": [leaf]}],
+    )
+    tables = child_tables(spark.createDataFrame([], schema))
+    assert list(tables) == [
+        "applicantList", "applicantList_phone", "applicantList_kyc", "applicantList_businessDetails_gstDetails",
+        "applicantList_contactPersons", "applicantList_contactPersons_phone", "applicantList_customObject_aLog",
+        "applicantList_customObject_Policy_oAddendum_aQuestions",
+        "applicantList_customObject_Policy_oAddendum_aQuestions_aMember", "creditPd_activityLogs", "creditDetails",
+        "creditDetails_outputs", "salesDetails", "salesDetails_outputs",
+    ]
+    assert tables["applicantList_customObject_Policy_oAddendum_aQuestions_aMember"].columns == [
+        "root_id", "applicantList_pos", "aQuestions_pos", "aMember_pos", "v", "info_w"
+    ]
+    assert tables["salesDetails_outputs"].columns == ["root_id", "salesDetails_pos", "outputs_pos", "v", "info_w"]
+    assert tables["applicantList"].columns == ["root_id", "applicantList_pos"]
+
+
+def test_clashes_follow_the_case_setting_of_the_session(spark):
+    docs = spark.sql("SELECT 1 AS s_f, named_struct('F', 2) AS s")
+    assert main_table(docs).columns == ["s_f", "s_F"]
+    spark.conf.set("spark.sql.caseSensitive", "false")
+    try:
+        with pytest.raises(NameClash):
+            main_table(docs)
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", "true")
+
+
 def test_properties_on_the_given_tables(spark):
     docs = text_docs(spark, SF_DIR).cache()
     lines, words = child_table(docs, "lines"), child_table(docs, "lines.words")

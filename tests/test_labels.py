@@ -98,3 +98,21 @@ def test_unknown_style(json_docs):
 def test_no_exchange_in_labelled_plans(json_docs):
     plan = flatten_labeled(json_docs(NESTED))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_opened_arrays_are_not_carried_along(spark, json_docs, tmp_path):
+    json_docs('{"s":{"k":"v","a":[{"x":1,"b":[{"y":1}]}],"c":[{"z":2}]}}').write.parquet(str(tmp_path / "landed"))
+    docs = spark.read.parquet(str(tmp_path / "landed"))
+    plan = flatten_labeled(docs)._jdf.queryExecution().optimizedPlan()
+    generators = []
+    while plan.children().nonEmpty():
+        if plan.nodeName() == "Generate":
+            generators.append([f.dataType().typeName() for f in _fields(plan.requiredChildOutput())])
+        plan = plan.children().head()
+    # From the last generator to the first: only the sibling still to be opened travels as an array.
+    assert [types.count("array") for types in generators] == [0, 1, 1]
+    assert not any("struct" in types for types in generators)
+
+
+def _fields(attributes):
+    return [attributes.apply(i) for i in range(attributes.size())]
