@@ -14,7 +14,9 @@ from docstrata.plans.table_sets import json_to_tables
 from docstrata.session import build_session, settle
 from docstrata.sinks.tables import write_delimited, write_drift_report, write_profile
 from docstrata.sources.delimited import read_catalogs, read_delimited
+from docstrata.sources.documents import read_schema
 from docstrata.sources.files import discover_tables, file_inventory, folder_inventory
+from docstrata.streaming.ingest import ingest_documents
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -29,6 +31,17 @@ def _parser() -> argparse.ArgumentParser:
     flatten.add_argument("--format", default="csv")
     flatten.add_argument("--landing", help="folder for the documents as Parquet")
     flatten.add_argument("--multiline", action="store_true")
+    flatten.add_argument("--rebalance", action="store_true", help="even out file sizes")
+    flatten.add_argument("--schema", help="schema.json of an earlier delivery, instead of inferring one")
+
+    ingest = jobs.add_parser("ingest", help="take in new JSON files, each once, as rows of the table set")
+    ingest.add_argument("source")
+    ingest.add_argument("target")
+    ingest.add_argument("name")
+    ingest.add_argument("--schema", required=True, help="schema.json of an earlier delivery")
+    ingest.add_argument("--checkpoint", required=True, help="folder that remembers the files taken in")
+    ingest.add_argument("--key", default=DOCUMENT_KEY)
+    ingest.add_argument("--files-per-batch", type=int)
 
     load = jobs.add_parser("load", help="a folder of delimited files to warehouse tables")
     load.add_argument("source")
@@ -57,10 +70,16 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     options = _parser().parse_args(arguments)
     spark = spark or build_session(f"docstrata-{options.job}")
     if options.job == "flatten":
+        schema = read_schema(spark, options.schema) if options.schema else None
         json_to_tables(
-            spark, options.source, options.target, options.name, key_col=options.key, file_format=options.format,
-            landing=options.landing, multiline=options.multiline,
+            spark, options.source, options.target, options.name, schema, options.key, options.format, options.landing,
+            multiline=options.multiline, rebalance=options.rebalance,
         )
+    elif options.job == "ingest":
+        ingest_documents(
+            spark, options.source, read_schema(spark, options.schema), options.target, options.checkpoint, options.name,
+            options.key, options.files_per_batch,
+        ).awaitTermination()
     elif options.job == "load":
         load_folder(spark, options.source, options.schema, options.mode, options.location)
     elif options.job == "profile":

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, types as T
 
 from docstrata.errors import NameClash
 from docstrata.functions.schema_walk import Path, dotted, is_array, is_struct, top_column

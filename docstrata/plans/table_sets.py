@@ -8,7 +8,7 @@ from docstrata.conventions import CATALOG_FILE_NAME, DOCUMENT_KEY, ORIGIN_COLUMN
 from docstrata.errors import NameClash
 from docstrata.operators.extract import child_tables, main_table
 from docstrata.session import scratch_path
-from docstrata.sinks.tables import write_catalog, write_schema_tree, write_tables
+from docstrata.sinks.tables import write_catalog, write_schema, write_schema_tree, write_tables
 from docstrata.sources.documents import land_as_parquet, read_documents
 
 
@@ -34,17 +34,23 @@ def json_to_tables(
     landing: str | None = None,
     concurrent: int = 3,
     multiline: bool = False,
+    rebalance: bool = False,
 ) -> list[str]:
     """JSON files to a schema catalogue, a schema tree and a table set under ``target``.
 
+    The schema is kept there as ``schema.json`` too; given back as ``schema`` for a later delivery it saves
+    the scan that infers it, and keeps the tables of arrays that happen to be empty then.
+
     The documents are first written to Parquet, in ``landing`` or else a scratch folder, so that the JSON
-    is parsed once and each table reads only the columns of its own array.
+    is parsed once and each table reads only the columns of its own array. ``rebalance`` evens out the size
+    of the table files at the cost of a shuffle per table.
     """
     documents = read_documents(spark, source, schema, multiline, origin=True)
     described = documents.drop(ORIGIN_COLUMN)
     root = target.rstrip("/")
     write_catalog(described, f"{root}/{CATALOG_FILE_NAME}")
     write_schema_tree(described, f"{root}/schema_tree.txt")
+    write_schema(described, f"{root}/schema.json")
     landed = land_as_parquet(documents, landing or scratch_path(spark, f"{name}-landing"))
     tables = flatten_documents(landed, name, key_col, origin_col=ORIGIN_COLUMN)
-    return write_tables(tables, root, file_format, concurrent)
+    return write_tables(tables, root, file_format, concurrent, rebalance=rebalance)

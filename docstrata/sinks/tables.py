@@ -15,6 +15,7 @@ from docstrata.operators.drift import as_delimited_report
 from docstrata.operators.nulls import mark_nulls
 from docstrata.operators.profile import profile_reports
 
+
 def _flat(df: DataFrame) -> DataFrame:
     """Maps and other nested values as JSON text; delimited files hold plain values only."""
     if not any(isinstance(f.dataType, NESTED_TYPES) for f in df.schema.fields):
@@ -93,6 +94,11 @@ def write_schema_tree(df: DataFrame, path: str) -> None:
     schema_tree_rows(df).coalesce(1).sortWithinPartitions("line_no").select("line").write.mode("overwrite").text(path)
 
 
+def write_schema(df: DataFrame, path: str) -> None:
+    """The schema as JSON text, for ``read_schema`` to pass to the next delivery."""
+    df.sparkSession.createDataFrame([(df.schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def write_profile(tables: Mapping[str, DataFrame], path: str, strict: bool = True) -> None:
     """Profile reports of the tables, one JSON text each."""
     profile_reports(tables, strict).select(F.col("report").alias("value")).write.mode("overwrite").option(

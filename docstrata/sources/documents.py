@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from docstrata.conventions import ORIGIN_COLUMN
@@ -32,6 +34,11 @@ def read_documents(
     return with_origin(scanned) if origin else scanned
 
 
+def read_schema(spark: SparkSession, path: str) -> T.StructType:
+    """A schema kept by ``write_schema``. Metadata only: one short text."""
+    return T.StructType.fromJson(json.loads(spark.read.text(path).first()["value"]))
+
+
 def read_document_lists(
     spark: SparkSession,
     path: str | list[str],

@@ -8,9 +8,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docstrata.conventions import CATALOG_FILE, DATA_TYPE, FIELD, HIERARCHY, ORIGIN_COLUMN, TOP_LEVEL
 from docstrata.functions.names import base_name, object_name, parent_path, routed_table
@@ -269,7 +268,10 @@ def q_labels_v1(spark, sf_dir):
     return flat.toDF(*[name.replace(".", "__") for name in flat.columns])
 
 
-@query(f"WITH {sql.WORDS}" + _LABELLED_WORDS.format(dot="_", lead="", inner="'lines_' || l.pos || '_words_' || w.wpos"))
+_CHAINED = "'lines_' || l.pos || '_words_' || w.wpos"
+
+
+@query(f"WITH {sql.WORDS}" + _LABELLED_WORDS.format(dot="_", lead="", inner=_CHAINED))
 def q_labels_v2(spark, sf_dir):
     return flatten_labeled(text_docs(spark, sf_dir, _COUNTED_LINES), CHAIN)
 
@@ -394,7 +396,8 @@ def q_defaults(spark, sf_dir):
 @query(f"""WITH {sql.PATCHY}
 SELECT c_custkey, balance IS NULL AS is_null, balance = '' AS is_empty, balance IS NOT NULL AND balance <> '' AS is_filled,
        regexp_matches(nation_text, '^[0-9]+$') AS is_integer, regexp_matches(balance, '^[0-9]+(\\.[0-9]+)?$') AS is_decimal,
-       regexp_matches(segment, '^[0-9]+$') OR regexp_matches(segment, '^[0-9]+(\\.[0-9]+)?$') OR segment IS NOT NULL AS is_present
+       regexp_matches(segment, '^[0-9]+$') OR regexp_matches(segment, '^[0-9]+(\\.[0-9]+)?$')
+         OR segment IS NOT NULL AS is_present
 FROM patchy""")
 def q_predicates(spark, sf_dir):
     balance, nation, segment = F.col("balance"), F.col("nation_text"), F.col("segment")

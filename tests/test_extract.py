@@ -197,28 +197,26 @@ def test_tables_of_a_deep_document_type(spark):
     leaf = {"v": "", "info": {"w": ""}}
     schema = _records(
         _id="",
-        applicantList=[{
-            "phone": [leaf], "kyc": [leaf], "businessDetails": {"gstDetails": [leaf]},
-            "contactPersons": [{"phone": [leaf], "name": ""}],
-            "customObject": {"aLog": [leaf], "Policy": {"oAddendum": {"aQuestions": [{"aMember": [leaf], "q": ""}]}}},
+        people=[{
+            "phone": [leaf], "checks": [leaf], "business": {"taxes": [leaf]},
+            "contacts": [{"phone": [leaf], "name": ""}],
+            "custom": {"aLog": [leaf], "Policy": {"oAdd": {"aAsked": [{"aMember": [leaf], "q": ""}]}}},
         }],
-        creditPd={"activityLogs": [leaf]},
+        visit={"log": [leaf]},
         creditDetails=[{"outputs": [leaf]}],
         salesDetails=[{"outputs": [leaf]}],
     )
     tables = child_tables(spark.createDataFrame([], schema))
     assert list(tables) == [
-        "applicantList", "applicantList_phone", "applicantList_kyc", "applicantList_businessDetails_gstDetails",
-        "applicantList_contactPersons", "applicantList_contactPersons_phone", "applicantList_customObject_aLog",
-        "applicantList_customObject_Policy_oAddendum_aQuestions",
-        "applicantList_customObject_Policy_oAddendum_aQuestions_aMember", "creditPd_activityLogs", "creditDetails",
-        "creditDetails_outputs", "salesDetails", "salesDetails_outputs",
+        "people", "people_phone", "people_checks", "people_business_taxes", "people_contacts", "people_contacts_phone",
+        "people_custom_aLog", "people_custom_Policy_oAdd_aAsked", "people_custom_Policy_oAdd_aAsked_aMember", "visit_log",
+        "creditDetails", "creditDetails_outputs", "salesDetails", "salesDetails_outputs",
     ]
-    assert tables["applicantList_customObject_Policy_oAddendum_aQuestions_aMember"].columns == [
-        "root_id", "applicantList_pos", "aQuestions_pos", "aMember_pos", "v", "info_w"
+    assert tables["people_custom_Policy_oAdd_aAsked_aMember"].columns == [
+        "root_id", "people_pos", "aAsked_pos", "aMember_pos", "v", "info_w"
     ]
     assert tables["salesDetails_outputs"].columns == ["root_id", "salesDetails_pos", "outputs_pos", "v", "info_w"]
-    assert tables["applicantList"].columns == ["root_id", "applicantList_pos"]
+    assert tables["people"].columns == ["root_id", "people_pos"]
 
 
 def test_clashes_follow_the_case_setting_of_the_session(spark):

@@ -6,7 +6,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from docstrata.__main__ import main
-from docstrata import ancestors, array_fields, empty_to_null, fill_missing, json_to_tables, load_folder, mark_nulls, schema_catalog, schema_tree
+from docstrata import (
+    ancestors,
+    array_fields,
+    empty_to_null,
+    fill_missing,
+    json_to_tables,
+    load_folder,
+    mark_nulls,
+    schema_catalog,
+    schema_tree,
+)
 from docstrata.functions.names import child_table_name, object_name, parent_path, routed_table
 from docstrata.operators.catalog import with_hierarchy
 from docstrata.plans.load import two_level_rows
@@ -143,7 +153,19 @@ def test_jobs_from_the_command_line(spark, tmp_path):
     source.write_text('{"_id":1,"a":[{"x":1},{"x":2}]}\n{"_id":2,"a":[]}\n')
     out = tmp_path / "out"
     main(["flatten", str(source), str(out), "docs"], spark)
-    assert {p.name for p in out.iterdir()} == {"schema_info.csv", "schema_tree.txt", "docs_main.csv", "a.csv"}
+    assert {p.name for p in out.iterdir()} == {
+        "schema_info.csv", "schema_tree.txt", "schema.json", "docs_main.csv", "a.csv"
+    }
+    later = tmp_path / "later"
+    later.mkdir()
+    (later / "empty.json").write_text('{"_id":3,"a":[]}\n')
+    schema = f"{out}/schema.json"
+    main(["flatten", str(later), str(tmp_path / "out2"), "docs", "--schema", schema, "--format", "parquet"], spark)
+    assert spark.read.parquet(str(tmp_path / "out2" / "a.parquet")).columns == ["root_id", "a_pos", "x", "Filename"]
+    (later / "more.json").write_text('{"_id":4,"a":[{"x":5}]}\n')
+    for _ in range(2):
+        main(["ingest", str(later), str(tmp_path / "taken"), "docs", "--schema", schema, "--checkpoint", str(tmp_path / "cp")], spark)
+    assert [tuple(r) for r in ingested_table(spark, str(tmp_path / "taken"), "a").collect()] == [(4, 0, 5)]
     spark.sql("DROP TABLE IF EXISTS docs_main")
     spark.sql("DROP TABLE IF EXISTS a")
     main(["load", str(out), "--location", str(tmp_path / "wh")], spark)
@@ -200,7 +222,9 @@ def test_stream_takes_each_file_once(spark, tmp_path):
         (source / name).write_text("\n".join(json.dumps(d) for d in docs) + "\n")
 
     def run():
-        ingest_documents(spark, str(source), schema, str(tmp_path / "out"), str(tmp_path / "cp"), "docs", files_per_trigger=1).awaitTermination()
+        ingest_documents(
+            spark, str(source), schema, str(tmp_path / "out"), str(tmp_path / "cp"), "docs", files_per_trigger=1
+        ).awaitTermination()
         return sorted(tuple(r) for r in ingested_table(spark, str(tmp_path / "out"), "a").collect())
 
     deliver("one.json", {"_id": 1, "a": [{"x": 1}, {"x": 2}]})
