@@ -48,6 +48,7 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("--schema", help="target schema of the tables")
     load.add_argument("--mode", default="append")
     load.add_argument("--location", help="folder for the table files")
+    load.add_argument("--split-files", action="store_true", help="no value holds a line break; split large files")
 
     profile = jobs.add_parser("profile", help="profile the delimited tables below a folder")
     profile.add_argument("source")
@@ -81,7 +82,9 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
             options.key, options.files_per_batch,
         ).awaitTermination()
     elif options.job == "load":
-        load_folder(spark, options.source, options.schema, options.mode, options.location)
+        load_folder(
+            spark, options.source, options.schema, options.mode, options.location, multiline=not options.split_files
+        )
     elif options.job == "profile":
         found = discover_tables(spark, options.source).toLocalIterator()
         tables = {row.table_name: read_delimited(spark, row.path) for row in found}

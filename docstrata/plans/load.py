@@ -16,12 +16,12 @@ from docstrata.sources.delimited import read_delimited
 from docstrata.sources.files import discover_tables
 
 
-def _read_alike(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def _read_alike(spark: SparkSession, paths: Sequence[str], multiline: bool) -> DataFrame:
     """Delimited files of one table, matched by column name; files with the same header are read together."""
     by_header: dict[tuple[str, ...], list[str]] = {}
     for path in paths:
         by_header.setdefault(tuple(read_delimited(spark, path).columns), []).append(path)
-    return union_by_name(read_delimited(spark, alike) for alike in by_header.values())
+    return union_by_name(read_delimited(spark, alike, multiline=multiline) for alike in by_header.values())
 
 
 def load_folder(
@@ -31,18 +31,20 @@ def load_folder(
     mode: str = "append",
     location: str | None = None,
     concurrent: int = 1,
+    multiline: bool = True,
 ) -> list[str]:
     """Load every table found below a folder into a catalogue table, empty text as null.
 
     Files routed to one table are loaded together. Only the list of files to load is brought to the
-    driver; rows stay distributed. ``concurrent`` tables are loaded at a time.
+    driver; rows stay distributed. ``concurrent`` tables are loaded at a time. For ``multiline`` see
+    ``read_delimited``.
     """
     paths: dict[str, list[str]] = {}
     for found in discover_tables(spark, folder, target_schema).orderBy("path").toLocalIterator():
         paths.setdefault(found.table_name, []).append(found.path)
 
     def load(table_name: str) -> str:
-        rows = empty_to_null(_read_alike(spark, paths[table_name]))
+        rows = empty_to_null(_read_alike(spark, paths[table_name], multiline))
         save_table(rows, table_name, mode, f"{location.rstrip('/')}/{table_name}" if location else None)
         return table_name
 

@@ -30,6 +30,7 @@ def write_delimited(df: DataFrame, path: str, mode: str = "overwrite", null_valu
     """A table as delimited files with a header. Null and empty text both show as nothing."""
     (
         _flat(df).write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .option("emptyValue", "").option("nullValue", null_value).csv(path)
     )
 

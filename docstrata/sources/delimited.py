@@ -18,11 +18,16 @@ def read_delimited(
     separator: str = ",",
     null_value: str = "",
     recurse: bool = True,
+    multiline: bool = True,
 ) -> DataFrame:
-    """A delimited table with a header. Without ``schema`` all columns are text."""
+    """A delimited table with a header. Without ``schema`` all columns are text.
+
+    Quoted values may hold line breaks, so each file is read by one task; tables written here consist of
+    many files. ``multiline=False`` splits large files, for tables known to have no such values.
+    """
     reader = (
         spark.read.option("header", True).option("sep", separator).option("quote", '"').option("escape", '"')
-        .option("nullValue", null_value).option("recursiveFileLookup", recurse)
+        .option("nullValue", null_value).option("recursiveFileLookup", recurse).option("multiLine", multiline)
     )
     if schema is not None:
         reader = reader.schema(schema)

@@ -545,6 +545,18 @@ def q_csv_load(spark, sf_dir):
     return spark.table(name)
 
 
+@query("""SELECT 'document' AS kind, CAST(doc_id AS VARCHAR) AS id, nullif(text, '') AS body FROM documents
+UNION ALL SELECT 'page', CAST(page_id AS VARCHAR), nullif(html, '') FROM pages""")
+def q_csv_text_load(spark, sf_dir):
+    """Whole texts with line breaks, quotes and separators through delimited files into a table."""
+    documents = table(spark, sf_dir, "documents").select(F.lit("document").alias("kind"), "doc_id", "text")
+    pages = table(spark, sf_dir, "pages").select(F.lit("page").alias("kind"), "page_id", "html")
+    folder, name = scratch_path(spark, "texts"), f"texts_{uuid.uuid4().hex[:12]}"
+    write_delimited(documents.union(pages).toDF("kind", "id", "body"), f"{folder}/{name}.csv")
+    load_folder(spark, folder, location=scratch_path(spark, "warehouse"))
+    return spark.table(name)
+
+
 @query(f"WITH {sql.LINKS} SELECT CAST(page_id AS VARCHAR) AS \"root_id_$oid\", pos AS links_pos, href FROM links")
 def q_stream_ingest(spark, sf_dir):
     docs = page_docs(spark, sf_dir)

@@ -81,6 +81,9 @@ def test_delimited_round_trip(spark, tmp_path):
     write_delimited(rows, str(tmp_path / "t.csv"))
     back = sorted([tuple(r) for r in read_delimited(spark, str(tmp_path / "t.csv")).collect()], key=repr)
     assert back == sorted([("a,b", 'say "x"', None, '{"k":1}'), (None, "c", "NULL", None)], key=repr)
+    odd = [("two\nlines", "  spaced  "), ('q"\n,"', "back\\slash"), ("\ttab", "é\r\nx")]
+    write_delimited(spark.createDataFrame(odd, "a string, b string"), str(tmp_path / "odd.csv"))
+    assert {tuple(r) for r in read_delimited(spark, str(tmp_path / "odd.csv")).collect()} == set(odd)
     write_marked(rows.select("s", "n"), str(tmp_path / "marked"))
     text = {r.value for r in spark.read.text(str(tmp_path / "marked")).collect()}
     assert '"a,b",NULL' in text and "s,n" in text
