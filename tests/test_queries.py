@@ -5,8 +5,7 @@ import pytest
 import __spark_entry__ as contract
 from compare import duck_rows, spark_rows
 from conftest import SF_DIR
-
-QUERIES, CHECKS = contract.queries(), contract.oracle_sql()
+from docstrata.workload.queries import CHECKS, QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -30,6 +29,8 @@ def test_plan_has_no_product_of_rows(spark, name):
 
 def test_checks_belong_to_queries():
     assert set(CHECKS) <= set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry_gives_rows(spark):
