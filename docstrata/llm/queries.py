@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from docstrata.llm.embeddings import op10_cap_filters
 from docstrata.llm.langid import op8_rank_profiles
 from docstrata.llm.licenses import op3_license_notices
 from docstrata.llm.packing import op2_concat_and_cut
 from docstrata.llm.secrets import op9_structural_secrets
 from docstrata.llm.simhash import op5_popcount_grid
 
-QUERIES = {f.__name__: f for f in (op2_concat_and_cut, op3_license_notices, op5_popcount_grid, op8_rank_profiles, op9_structural_secrets)}
+QUERIES = {f.__name__: f for f in (op2_concat_and_cut, op3_license_notices, op5_popcount_grid, op8_rank_profiles, op9_structural_secrets, op10_cap_filters)}
 CHECKS: dict[str, str] = {}
