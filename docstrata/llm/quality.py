@@ -143,6 +143,16 @@ def _unpacked(data: bytes) -> Weights:
     return out
 
 
+def _learner(common: Weights, number: int):
+    def learn(shard: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("place", kind="stable")
+        texts, rate = [as_bytes(t) for t in rows["text"]], RATE * (1 - number / ROUNDS)
+        new = train(texts, rows["label"].to_numpy(), common, EPOCHS, 100 * number + int(shard[0]), rate)
+        return pd.DataFrame({"n": [len(rows)], "weights": [_packed(new)]})
+
+    return learn
+
+
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "quality", key: str = "doc_id", sample: int = SAMPLE) -> Weights:
     """Weights learned from at most ``sample`` rows of ``labels`` with a label of 0 or 1, those whose key hashes lowest.
 
@@ -156,15 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "qu
     stored = settle(rows.select("text", "label", "place", "shard"), "quality-sample")
     weights = start()
     for number in range(ROUNDS):
-        rate = RATE * (1 - number / ROUNDS)
-
-        def learn(shard_key, rows: pd.DataFrame, common=weights, number=number, rate=rate) -> pd.DataFrame:
-            rows = rows.sort_values("place", kind="stable")
-            texts = [as_bytes(t) for t in rows["text"]]
-            new = train(texts, rows["label"].to_numpy(), common, EPOCHS, 100 * number + int(shard_key[0]), rate)
-            return pd.DataFrame({"n": [len(rows)], "weights": [_packed(new)]})
-
-        parts = stored.groupBy("shard").applyInPandas(learn, "n long, weights binary").collect()  # SHARDS rows
+        parts = stored.groupBy("shard").applyInPandas(_learner(weights, number), "n long, weights binary").collect()  # SHARDS rows
         if not parts:
             return weights
         total = sum(p["n"] for p in parts)
