@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from docstrata.llm.decontaminate import op1_template_windows
 from docstrata.llm.embeddings import op10_cap_filters
 from docstrata.llm.langid import op8_rank_profiles
 from docstrata.llm.licenses import op3_license_notices
@@ -10,5 +11,5 @@ from docstrata.llm.quality import op7_byte_cnn
 from docstrata.llm.secrets import op9_structural_secrets
 from docstrata.llm.simhash import op5_popcount_grid
 
-QUERIES = {f.__name__: f for f in (op2_concat_and_cut, op3_license_notices, op5_popcount_grid, op7_byte_cnn, op8_rank_profiles, op9_structural_secrets, op10_cap_filters)}
+QUERIES = {f.__name__: f for f in (op1_template_windows, op2_concat_and_cut, op3_license_notices, op5_popcount_grid, op7_byte_cnn, op8_rank_profiles, op9_structural_secrets, op10_cap_filters)}
 CHECKS: dict[str, str] = {}
