@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docstrata.session import settle
 
-__all__ = ["LAST_ID", "documents", "doc_order", "free_name", "held_out", "numbered", "settle", "with_result"]
+__all__ = ["LAST_ID", "documents", "doc_order", "free_name", "held_out", "numbered", "settle", "whole_groups", "with_result"]
 
 #: Documents without an id come after all others wherever an order is needed.
 LAST_ID = (1 << 63) - 1
@@ -54,3 +55,23 @@ def doc_order(doc_id: Column) -> Column:
 def numbered(df: DataFrame, name: str) -> DataFrame:
     """Rows with a number of their own. Write the result before reading it twice: a second run may number differently."""
     return df.withColumn(name, F.monotonically_increasing_id())
+
+
+def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The groups of rows that come sorted by ``keys``, each whole, whatever the batches."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        values = batch[keys].to_numpy()
+        cuts = [0, *(np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1).tolist(), len(batch)]
+        for a, b in zip(cuts, cuts[1:]):
+            if held and a == 0 and (held[0][keys].iloc[0].to_numpy() != values[0]).any():
+                yield pd.concat(held) if len(held) > 1 else held[0]
+                held = []
+            elif held and a > 0:
+                yield pd.concat(held) if len(held) > 1 else held[0]
+                held = []
+            held.append(batch.iloc[a:b])
+    if held:
+        yield pd.concat(held) if len(held) > 1 else held[0]

@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from docstrata.llm.common import LAST_ID, doc_order, numbered, settle
+from docstrata.llm.common import LAST_ID, doc_order, numbered, settle, whole_groups
 from docstrata.llm.components import components
 
 COSINE = 0.95
@@ -103,26 +103,6 @@ def _filters(size: int, thresholds: dict[int, float]):
     return filters
 
 
-def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """The groups of rows that come sorted by ``keys``, each whole, whatever the batches."""
-    held: list[pd.DataFrame] = []
-    for batch in batches:
-        if not len(batch):
-            continue
-        values = batch[keys].to_numpy()
-        cuts = [0, *(np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1).tolist(), len(batch)]
-        for a, b in zip(cuts, cuts[1:]):
-            if held and a == 0 and (held[0][keys].iloc[0].to_numpy() != values[0]).any():
-                yield pd.concat(held) if len(held) > 1 else held[0]
-                held = []
-            elif held and a > 0:
-                yield pd.concat(held) if len(held) > 1 else held[0]
-                held = []
-            held.append(batch.iloc[a:b])
-    if held:
-        yield pd.concat(held) if len(held) > 1 else held[0]
-
-
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The first of those that each of ``n`` things reaches by the links ``a[i], b[i]``."""
     root = np.arange(n)
