@@ -7,10 +7,11 @@ from docstrata.llm.embeddings import op10_cap_filters
 from docstrata.llm.langid import op8_rank_profiles
 from docstrata.llm.licenses import op3_license_notices
 from docstrata.llm.packing import op2_concat_and_cut
+from docstrata.llm.passages import op6_compact_windows
 from docstrata.llm.quality import op7_byte_cnn
 from docstrata.llm.secrets import op9_structural_secrets
 from docstrata.llm.simhash import op5_popcount_grid
 from docstrata.llm.suffix_dedup import op4_previous_factors
 
-QUERIES = {f.__name__: f for f in (op1_template_windows, op2_concat_and_cut, op3_license_notices, op4_previous_factors, op5_popcount_grid, op7_byte_cnn, op8_rank_profiles, op9_structural_secrets, op10_cap_filters)}
+QUERIES = {f.__name__: f for f in (op1_template_windows, op2_concat_and_cut, op3_license_notices, op4_previous_factors, op5_popcount_grid, op6_compact_windows, op7_byte_cnn, op8_rank_profiles, op9_structural_secrets, op10_cap_filters)}
 CHECKS: dict[str, str] = {}

@@ -317,7 +317,7 @@ def _window_by_window(heavy: DataFrame, length: int) -> DataFrame:
     return later.select("ord", F.col("at").alias("start"), F.lit(length).alias("length"))
 
 
-def _stacked(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+def stacked(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """``ord``, ``doc_id`` and ``text``, where ``ord`` is unique and in the order of the documents.
 
     Distinct ids are the order themselves, and nothing is written. Else rows are numbered by id, nulls last and equal ids
@@ -383,7 +383,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     Null texts are empty, and texts shorter than ``length`` stay whole. Rows of one id are documents of their own, in
     the order of their texts; null ids come last. Other columns are left out.
     """
-    texts = _stacked(docs, text, doc_id)
+    texts = stacked(docs, text, doc_id)
     ranges = covered_ranges(texts, length).groupBy("ord").agg(F.collect_list(F.struct("start", "length")).alias("ranges"))
     joined = texts.join(ranges, "ord", "left").select("doc_id", "text", "ranges")
     return joined.mapInPandas(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
