@@ -26,6 +26,7 @@ WINDOW = 4096
 #: Words whose tokens a worker remembers, and texts it splits at once.
 KEPT_WORDS, AT_ONCE = 1_000_000, 256
 LONGEST_KEPT = 48
+WORD_END = "</w>"
 
 #: Letters up to U+024F without the dotted capital I: one to one in lower case, unchanged by normalisation.
 UNUSUAL = re.compile("[^\\x00-\\u012f\\u0131-\\u024f]")
@@ -47,23 +48,40 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
 
     def raw(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def lines(self, words: list[str]) -> list[bytes]:
+        """Words of plain letters, each one pre-token, many to a call: their ids end at the tokens that end a word."""
+        ids = [i for found in self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False) for i in found.ids]
+        cuts = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
+        if len(cuts) != len(words) + 1:
+            return self.raw(words)
+        data = np.array(ids, "<u4").tobytes()
+        return [data[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:])]
+
     def learn(self, words: set[str]) -> None:
-        known, parts, missing = self.known, {}, set()
+        known, parts, missing, plain = self.known, {}, set(), set()
         for word in words:
             letters = word.rstrip(PUNCTUATION)
-            if letters and letters != word and letters.isalpha() and not UNUSUAL.search(letters):
-                rest = word[len(letters) :]
-                parts[word] = letters, rest
-                missing.update(part for part in (letters, rest) if part not in known)
+            if letters and letters.isalpha() and not UNUSUAL.search(letters):
+                if letters not in known:
+                    plain.add(letters)
+                if letters != word:
+                    rest = word[len(letters) :]
+                    parts[word] = letters, rest
+                    if rest not in known:
+                        missing.add(rest)
             else:
                 missing.add(word)
-        order = list(missing)
-        known.update(zip(order, self.raw(order)))
+        for order, encode in ((list(missing), self.raw), (list(plain), self.lines)):
+            if order:
+                known.update(zip(order, encode(order)))
         for word, (letters, rest) in parts.items():
             known[word] = known[letters] + known[rest]
 
