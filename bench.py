@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from docstrata.session import build_session
@@ -43,6 +44,7 @@ def main() -> None:
         "spark.sql.shuffle.partitions": cpus,
         "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
         "spark.ui.enabled": "false",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="docstrata-bench-"),
     })
     spark.sparkContext.setLogLevel("ERROR")
     wanted = os.environ.get("BENCH_QUERIES", "").split(",") if os.environ.get("BENCH_QUERIES") else HEADLINE

@@ -9,13 +9,13 @@ from pyspark.sql import SparkSession
 
 from docstrata.conventions import DOCUMENT_KEY
 from docstrata.operators.drift import type_conflicts, type_conflicts_with_absence
-from docstrata.plans.load import load_folder
+from docstrata.plans.load import folder_tables, load_folder
 from docstrata.plans.table_sets import json_to_tables
 from docstrata.session import build_session, settle
 from docstrata.sinks.tables import write_delimited, write_drift_report, write_profile
-from docstrata.sources.delimited import read_catalogs, read_delimited
+from docstrata.sources.delimited import read_catalogs
 from docstrata.sources.documents import read_schema
-from docstrata.sources.files import discover_tables, file_inventory, folder_inventory
+from docstrata.sources.files import file_inventory, folder_inventory
 from docstrata.streaming.ingest import ingest_documents
 
 
@@ -86,9 +86,7 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
             spark, options.source, options.schema, options.mode, options.location, multiline=not options.split_files
         )
     elif options.job == "profile":
-        found = discover_tables(spark, options.source).toLocalIterator()
-        tables = {row.table_name: read_delimited(spark, row.path) for row in found}
-        write_profile(tables, options.target, strict=not options.loose)
+        write_profile(folder_tables(spark, options.source), options.target, strict=not options.loose)
     elif options.job == "drift":
         catalog = settle(read_catalogs(spark, options.source), "catalogs")
         report = type_conflicts_with_absence(catalog) if options.absence else type_conflicts(catalog)

@@ -10,6 +10,10 @@ ROOT_KEY = "root_id"
 POSITION_SUFFIX = "_pos"
 ORIGIN_COLUMN = "Filename"
 
+# Names of our own: what did not fit a given schema, as a column beside the documents and in its table.
+RESCUED_COLUMN = "__rescued"
+RESCUED = "rescued"
+
 # Columns and texts of a schema catalogue.
 FIELD = "Field"
 HIERARCHY = "Hierarchy"

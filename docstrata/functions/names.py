@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, functions as F
 
 
@@ -36,3 +38,16 @@ def parent_path(field: Column, top: str) -> Column:
     parts = F.split(field, r"\.")
     above = F.array_join(F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 1, F.lit(0))), ".")
     return F.when(F.contains(field, F.lit(".")), above).otherwise(F.lit(top))
+
+
+def free_name(taken: Iterable[str], stem: str) -> str:
+    """``stem``, lengthened by underscores until no name in ``taken`` equals it in any case."""
+    lowered = {name.lower() for name in taken}
+    while stem.lower() in lowered:
+        stem += "_"
+    return stem
+
+
+def visible_name(table: str) -> str:
+    """The file name of a table: listings pass over names that start with an underscore or a dot."""
+    return f"t{table}" if table[:1] in ("_", ".") else table

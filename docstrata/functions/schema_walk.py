@@ -83,14 +83,15 @@ def schema_entries(schema: T.StructType, above: Path = ()) -> Iterator[SchemaEnt
             yield from schema_entries(record, entry.path)
 
 
-def array_paths(schema: T.StructType) -> list[Path]:
-    """Paths of all arrays of structs, outer arrays first."""
-    return [entry.path for entry in schema_entries(schema) if is_struct_array(entry.data_type)]
+def array_paths(schema: T.StructType, primitive: bool = False) -> list[Path]:
+    """Paths of all arrays of structs, with ``primitive`` of all arrays, outer arrays first."""
+    wanted = is_array if primitive else is_struct_array
+    return [entry.path for entry in schema_entries(schema) if wanted(entry.data_type)]
 
 
-def resolve_array_path(schema: T.StructType, path: str | Sequence[str]) -> Path:
-    """The array-of-struct path meant by a dotted text or by a sequence of segments."""
-    known = array_paths(schema)
+def resolve_array_path(schema: T.StructType, path: str | Sequence[str], primitive: bool = False) -> Path:
+    """The array-of-struct path (with ``primitive`` any array) meant by a dotted text or by a sequence of segments."""
+    known = array_paths(schema, primitive)
     wanted = path if isinstance(path, str) else dotted(path)
     matches = [p for p in known if (dotted(p) == path if isinstance(path, str) else p == tuple(path))]
     if len(matches) > 1:
@@ -106,7 +107,7 @@ class ArrayLevel:
 
     hops: Path
     path: Path
-    element: T.StructType
+    element: T.DataType
 
     @property
     def name(self) -> str:
@@ -120,7 +121,7 @@ def array_levels(schema: T.StructType, path: Path) -> list[ArrayLevel]:
         data_type = record[segment].dataType
         record = record_type(data_type)
         if is_array(data_type):
-            levels.append(ArrayLevel(path[start:end], path[:end], record))
+            levels.append(ArrayLevel(path[start:end], path[:end], data_type.elementType))
             start = end
     return levels
 

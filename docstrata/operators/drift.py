@@ -16,9 +16,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docstrata.conventions import CATALOG_FILE, DATA_TYPE, FIELD, TYPE_ABSENT
+from docstrata.session import settle
 
 FILES_PER_ROW = 1_000
 FIELDS_PER_SLOT = 1_000
+GROUP_SLOTS = 16
 PART = "part"
 ENTRIES = "entries"
 
@@ -82,8 +84,8 @@ def first_types(catalog: DataFrame, order_col: str | None = None) -> DataFrame:
 
 
 def _groups_of(size: int, names: DataFrame) -> Column:
-    """How many groups of about ``size`` the rows of ``names`` make, at least one, as a scalar subquery."""
-    return names.agg(F.greatest(F.ceil(F.count("*") / F.lit(size)), F.lit(1)).cast("int")).scalar()
+    """How many groups of about ``size`` the rows of ``names`` make, at least one: counted once, then a constant."""
+    return F.lit(max(1, -(-names.count() // size)))
 
 
 def _group_number(column: str, groups: Column) -> Column:
@@ -127,13 +129,13 @@ def type_conflicts_with_absence(
 
     Each file has one type per field here, so a conflict within a single file does not show.
     """
-    typed = first_types(catalog, order_col)
-    file_count = typed.select(CATALOG_FILE).distinct().agg(F.count("*")).scalar()
-    uneven = (
+    typed = settle(first_types(catalog, order_col), "first-types")
+    file_count = typed.select(CATALOG_FILE).distinct().count()
+    uneven = settle(
         typed.groupBy(FIELD)
         .agg(F.min(DATA_TYPE).alias("low"), F.max(DATA_TYPE).alias("high"), F.count("*").alias("files"))
         .filter((F.col("low") != F.col("high")) | (F.col("files") < file_count))
-        .select(FIELD)
+        .select(FIELD), "uneven-fields"
     )
     present, absent = _absences(typed, files_per_row, uneven)
     found = present.groupBy(FIELD, DATA_TYPE, PART).agg(F.collect_list(CATALOG_FILE).alias("names"))
@@ -141,11 +143,47 @@ def type_conflicts_with_absence(
     return found.unionByName(missing).select(FIELD, DATA_TYPE, PART, F.sort_array("names").alias(CATALOG_FILE))
 
 
+def file_groups(typed: DataFrame) -> DataFrame:
+    """``filename, file_group``: files with the same fields of the same types share a group.
+
+    The group is a fingerprint of the file's rows that does not depend on their order: two sums of hashes and the count,
+    pre-aggregated before the exchange.
+    """
+    row = lambda seed: F.sum(F.xxhash64(F.lit(seed), FIELD, DATA_TYPE).cast("decimal(20,0)"))
+    parts = F.concat_ws("/", row(1).cast("string"), row(2).cast("string"), F.count("*").cast("string"))
+    return typed.groupBy(CATALOG_FILE).agg(F.sha2(parts, 256).alias("file_group"))
+
+
+def group_conflicts(catalog: DataFrame, order_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Conflicts, absence included, by groups of files: (``Field, Data Type, file_group, files``; ``file_group, filename``).
+
+    A field's row tells for a group of alike files, and their number, the type they give it or ``Data Type Not Present``.
+    Together the two tables say the same as ``type_conflicts_with_absence``, in the size of the input and of the distinct
+    catalogues; joined by ``file_group`` they name every file. Deliveries mostly repeat few catalogues.
+    """
+    typed = settle(first_types(catalog, order_col), "first-types")
+    members = settle(file_groups(typed), "file-groups")
+    groups = settle(members.groupBy("file_group").agg(F.count("*").alias("files"), F.min(CATALOG_FILE).alias(CATALOG_FILE)), "group-sizes")
+    # One file stands for its group from here on.
+    known = settle(typed.join(groups, CATALOG_FILE).select(FIELD, DATA_TYPE, "file_group", "files"), "group-types")
+    every = groups.agg(F.count("*").alias("groups")).first()["groups"]
+    uneven = known.groupBy(FIELD).agg(F.min(DATA_TYPE).alias("low"), F.max(DATA_TYPE).alias("high"), F.count("*").alias("held"))
+    uneven = settle(uneven.where((F.col("low") != F.col("high")) | (F.col("held") < every)).select(FIELD, "held"), "uneven-fields")
+    present = known.join(uneven.select(FIELD), FIELD)
+    # Only fields that some group lacks are laid against the groups, each against all of them.
+    slots = F.explode(F.sequence(F.lit(0), F.lit(GROUP_SLOTS - 1))).alias("slot")
+    gaps = uneven.where(F.col("held") < every).select(FIELD, slots)
+    spread = groups.select("file_group", "files", F.pmod(F.xxhash64("file_group"), F.lit(GROUP_SLOTS)).cast("int").alias("slot"))
+    lacking = gaps.join(spread, "slot").join(known.select(FIELD, "file_group"), [FIELD, "file_group"], "left_anti")
+    missing = lacking.select(FIELD, F.lit(TYPE_ABSENT).alias(DATA_TYPE), "file_group", "files")
+    return present.select(FIELD, DATA_TYPE, "file_group", "files").unionByName(missing), members
+
+
 def types_by_file(
     catalog: DataFrame, files_per_row: int = FILES_PER_ROW, order_col: str | None = None
 ) -> DataFrame:
     """Long form: ``Field, filename, Data Type`` for every field and every file."""
-    typed = first_types(catalog, order_col)
+    typed = settle(first_types(catalog, order_col), "first-types")
     present, absent = _absences(typed, files_per_row)
     missing = absent.select(FIELD, F.explode("lacking").alias(CATALOG_FILE), F.lit(TYPE_ABSENT).alias(DATA_TYPE))
     return present.select(FIELD, CATALOG_FILE, DATA_TYPE).unionByName(missing)

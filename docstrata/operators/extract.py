@@ -50,22 +50,38 @@ def _position_names(levels: Sequence[ArrayLevel], taken: dict[str, str], case_se
     return names
 
 
+def opened(df: DataFrame, keep: Sequence[Column], array: Column, position: str, item: str, stored: bool = False) -> DataFrame:
+    """One row per element of ``array``, with its position.
+
+    From an inner generator Spark derives the filter that the array is not empty. Over an array ``stored`` in Parquet the
+    scan uses it to skip documents; over one computed in the plan it would compute the array a second time. So the
+    general form is an outer generator, with the rows of empty arrays left out by their missing position.
+    """
+    if stored:
+        return df.select(*keep, F.posexplode(array).alias(position, item))
+    return df.select(*keep, F.posexplode_outer(array).alias(position, item)).where(F.col(position).isNotNull())
+
+
 def child_table(
     df: DataFrame,
     path: str | Sequence[str],
     key_col: str = DOCUMENT_KEY,
     keys: bool = True,
     origin_col: str | None = None,
+    stored: bool = False,
+    primitive: bool = False,
 ) -> DataFrame:
     """One row per element of the array at ``path``.
 
     Columns: ``root_id``, the position at every array level, then the element's fields with structs
     expanded and arrays left out; scalars of outer levels are not repeated. Documents without an
     element at some level give no row. ``keys=False`` leaves out key and positions. ``origin_col``
-    names a top-level column (such as the source file name) to carry along as last column.
+    names a top-level column (such as the source file name) to carry along as last column. ``stored`` says that
+    ``df`` was just read from Parquet; see ``opened``. With ``primitive`` the path may also be of an array of plain values, each in
+    a column named like the array.
     """
     schema = df.schema
-    levels = array_levels(schema, resolve_array_path(schema, path))
+    levels = array_levels(schema, resolve_array_path(schema, path, primitive))
     if keys and key_col not in schema.names:
         raise LayoutError(f"documents have no key column {key_col!r}; pass key_col or keys=False")
 
@@ -75,14 +91,16 @@ def child_table(
     item = None
     for depth, level in enumerate(levels):
         array = dig(item, level.hops)
-        opened = F.posexplode(array).alias(f"__pos{depth}", _ITEM) if keys else F.explode(array).alias(_ITEM)
-        df = df.select(*outer, opened)
-        outer = [F.col(name) for name in df.columns if name != _ITEM]
+        df = opened(df, outer, array, f"__pos{depth}", _ITEM, stored)
+        outer = [F.col(name) for name in df.columns if name != _ITEM and (keys or not name.startswith("__pos"))]
         item = F.col(_ITEM)
 
     last = levels[-1]
     head = [Cell(ROOT_KEY, F.col(_ROOT), schema[key_col].dataType, (key_col,))] if keys else []
-    body = [Cell(f.name, item.getField(f.name), f.dataType, last.path + (f.name,)) for f in last.element.fields]
+    if isinstance(last.element, T.StructType):
+        body = [Cell(f.name, item.getField(f.name), f.dataType, last.path + (f.name,)) for f in last.element.fields]
+    else:
+        body = [Cell(last.name, item, last.element, last.path)]
     tail = [Cell(origin_col, F.col(_ORIGIN), schema[origin_col].dataType, (origin_col,))] if origin_col else []
     positions = []
     if keys:
@@ -95,17 +113,21 @@ def child_table(
 
 
 def child_tables(
-    df: DataFrame, key_col: str = DOCUMENT_KEY, keys: bool = True, origin_col: str | None = None
+    df: DataFrame, key_col: str = DOCUMENT_KEY, keys: bool = True, origin_col: str | None = None, stored: bool = False,
+    primitive_arrays: bool = False,
 ) -> dict[str, DataFrame]:
-    """Every child table of the documents, by table name. Nothing runs until a table is used."""
+    """Every child table of the documents, by table name. Nothing runs until a table is used.
+
+    ``primitive_arrays`` adds a table for each array of plain values.
+    """
     tables: dict[str, DataFrame] = {}
     source: dict[str, str] = {}
-    for path in array_paths(df.schema):
+    for path in array_paths(df.schema, primitive_arrays):
         name = child_table_name(dotted(path))
         if name in tables:
             raise NameClash(name, source[name], dotted(path))
         source[name] = dotted(path)
-        tables[name] = child_table(df, path, key_col, keys, origin_col)
+        tables[name] = child_table(df, path, key_col, keys, origin_col, stored, primitive_arrays)
     return tables
 
 

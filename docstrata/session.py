@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,17 +34,23 @@ def build_session(
     return builder.getOrCreate()
 
 
+@cache
+def _own_folder() -> tempfile.TemporaryDirectory:
+    return tempfile.TemporaryDirectory(prefix="docstrata-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the folder named by ``spark.checkpoint.dir``.
 
-    That folder is shared by all executors, so what is written there survives the loss of any of
-    them. Only a local session without the setting falls back to a temporary folder.
+    That folder is shared by all executors, so what is written there survives the loss of any of them. A cluster without the
+    setting is an error. Only a local session, where driver and executors are one process, falls back to a folder of its own, one
+    for the process and removed when it ends.
     """
     base = spark.conf.get(CHECKPOINT_CONF, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="docstrata-")
+        base = _own_folder().name
     return f"{base.rstrip('/')}/docstrata/{label}-{uuid.uuid4().hex}"
 
 

@@ -8,6 +8,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, functions as F
 
 from docstrata.conventions import NULL_MARKER
+from docstrata.errors import NameClash
+from docstrata.functions.names import visible_name
 from docstrata.functions.schema_walk import top_column
 from docstrata.functions.values import NESTED_TYPES, as_text
 from docstrata.operators.catalog import schema_catalog, schema_tree_rows
@@ -27,11 +29,18 @@ def _flat(df: DataFrame) -> DataFrame:
 
 
 def write_delimited(df: DataFrame, path: str, mode: str = "overwrite", null_value: str = "") -> None:
-    """A table as delimited files with a header. Null and empty text both show as nothing."""
+    """A table as delimited files with a header. Null and empty text both show as nothing.
+
+    In a table of one column they show as a quoted nothing, since readers pass over blank lines.
+    """
+    flat, empty = _flat(df), ""
+    if len(flat.columns) == 1:
+        empty, column = '""', top_column(flat.columns[0])
+        flat = flat.select(F.coalesce(column.cast("string"), F.lit(null_value)).alias(flat.columns[0]))
     (
-        _flat(df).write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
+        flat.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-        .option("emptyValue", "").option("nullValue", null_value).csv(path)
+        .option("emptyValue", empty).option("nullValue", null_value).csv(path)
     )
 
 
@@ -50,13 +59,22 @@ def write_tables(
 ) -> list[str]:
     """Each table into ``folder/<name>.<format>``; returns the names written.
 
+    A name that starts with an underscore or dot gets a letter in front, as ``visible_name`` has it: Spark and its file
+    listings take such files for hidden ones. Two tables of one file name are a ``NameClash``.
+
     ``concurrent`` tables are written at a time, so that small tables do not leave a large cluster
     idle. ``rebalance`` adds a shuffle that evens out file sizes, for tables much smaller than the
     documents they come from. ``skip_empty`` leaves out tables without rows, at the cost of a short
     extra job per table.
     """
+    files: dict[str, str] = {}
+    for name in tables:
+        other = files.setdefault(visible_name(name), name)
+        if other != name:
+            raise NameClash(visible_name(name), other, name)
+
     def write(item: tuple[str, DataFrame]) -> str | None:
-        name, table = item
+        name, table = visible_name(item[0]), item[1]
         if skip_empty and table.isEmpty():
             return None
         if rebalance:
@@ -101,9 +119,13 @@ def write_schema(df: DataFrame, path: str) -> None:
 
 
 def write_profile(tables: Mapping[str, DataFrame], path: str, strict: bool = True) -> None:
-    """Profile reports of the tables, one JSON text each."""
-    profile_reports(tables, strict).select(F.col("report").alias("value")).write.mode("overwrite").option(
-        "lineSep", "\n\n"
+    """Profile reports of the tables as one JSON list, one row per table and so small enough for one file."""
+    reports = profile_reports(tables, strict)
+    last = F.lit(len(tables) - 1)
+    place = F.array_position(F.array(*[F.lit(name) for name in tables]), F.get_json_object("report", "$.DataFrame_name")) - 1
+    text = F.concat(F.when(place == 0, "[").otherwise(""), "report", F.when(place == last, "]").otherwise(","))
+    reports.select(place.alias("place"), text.alias("value")).coalesce(1).sortWithinPartitions("place").select("value").write.mode(
+        "overwrite"
     ).text(path)
 
 

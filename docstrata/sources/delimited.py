@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from docstrata.conventions import CATALOG_FILE, DATA_TYPE, FIELD, HIERARCHY
+from docstrata.errors import LayoutError, NameClash
 from docstrata.functions.names import base_name
-from docstrata.sources.files import dataset_below
+from docstrata.functions.schema_walk import top_column
+from docstrata.sources.files import dataset_below, decoded_path, qualified
 
 
 def read_delimited(
@@ -34,39 +38,84 @@ def read_delimited(
     return reader.csv(path)
 
 
+def file_headers(spark: SparkSession, folder: str, suffix: str = ".csv") -> DataFrame:
+    """``path, dataset, header``: each file of the tables below a folder with its first line.
+
+    A first line is looked for in the first block of a file only. Files without any line have no header and
+    are not listed. A header that itself holds a line break is not supported.
+    """
+    root = qualified(spark, folder)
+    scanned = spark.read.option("recursiveFileLookup", True).text(root)
+    source = scanned.metadataColumn("_metadata")
+    lines = scanned.select(
+        F.col("value"), source.getField("file_path").alias("uri"), source.getField("file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    ).where("block = 0")
+    first = lines.groupBy("uri").agg(F.min_by("value", "line").alias("header"))
+    path = decoded_path(F.col("uri"))
+    return first.select(path.alias("path"), dataset_below(root, path, suffix).alias("dataset"), "header").where("dataset IS NOT NULL")
+
+
+def header_names(line: str, separator: str = ",") -> tuple[str, ...]:
+    """Column names of a header line. A name that stands twice cannot be told apart and is refused."""
+    names = next(csv.reader([line.removeprefix("\ufeff")], delimiter=separator), [])
+    for place, name in enumerate(names):
+        if name in names[:place]:
+            raise NameClash(name, f"column {names.index(name)}", f"column {place}")
+    return tuple(names)
+
+
+def read_alike(
+    spark: SparkSession, headers: Mapping[str, Sequence[str]], separator: str = ",", multiline: bool = True, origin: str | None = None
+) -> DataFrame:
+    """Files matched by column name. ``headers`` gives the files of each distinct header line, which are one scan.
+
+    No rows are joined or regrouped: each scan has the columns its header names, and a row that looks like a header is a row.
+    ``origin`` names a column for the plain file name of the table a row comes from.
+    """
+    frames = []
+    for line, paths in headers.items():
+        names = header_names(line, separator)
+        if origin and origin in names:
+            raise NameClash(origin, "file name", "column")
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+        rows = read_delimited(spark, list(paths), schema, separator, multiline=multiline)
+        if origin:
+            path = decoded_path(rows.metadataColumn("_metadata").getField("file_path"))
+            named = F.regexp_extract(path, r"(?:^|/)([^/]*\.csv)(?:/|$)", 1)
+            rows = rows.withColumn(origin, F.when(named != "", named).otherwise(base_name(path)))
+        frames.append(rows)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def by_header(found: DataFrame) -> dict[str, list[str]]:
+    """Paths of each distinct header line. Brings the list of files, never rows, to the driver, where a scan needs it anyway."""
+    groups: dict[str, list[str]] = {}
+    for row in found.orderBy("path").toLocalIterator():
+        groups.setdefault(row.header, []).append(row.path)
+    return groups
+
+
 def read_delimited_by_name(
-    spark: SparkSession, folder: str, columns: Sequence[str], required: Sequence[str] | None = None, max_columns: int = 64
+    spark: SparkSession, folder: str, columns: Sequence[str] | None = None, required: Sequence[str] | None = None, separator: str = ","
 ) -> DataFrame:
     """All ``.csv`` files below a folder as one table, matched by column name, plus ``filename``.
 
-    Reading many delimited files at once matches by position and would mix up files whose columns are
-    ordered differently. Here all files are read in one scan without a header; a row naming all
-    ``required`` columns is its file's header, and joins the file's rows as the order of its values.
-    A file without such a row stops the job.
+    Reading many delimited files at once matches by position and would mix up files whose columns are ordered
+    differently. Here files are grouped by their header line. ``columns`` are the columns wanted (all that occur, if
+    none are named), null where a file lacks them; a file that lacks one of ``required`` stops the job.
     """
-    slots = [f"c{i}" for i in range(max_columns)]
-    scanned = (
-        spark.read.schema(", ".join(f"{slot} string" for slot in slots))
-        .option("header", False).option("quote", '"').option("escape", '"').option("nullValue", "")
-        .option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).csv(folder)
-    )
-    source = scanned.metadataColumn("_metadata")
-    lines = scanned.select(F.array(*slots).alias("cells"), source.getField("file_path").alias("path"))
-    is_header = F.lit(True)
-    for name in required or columns:
-        is_header = is_header & F.coalesce(F.array_contains("cells", name), F.lit(False))
-    # One row per file. Which side to send is left to the measured sizes.
-    headers = lines.filter(is_header).groupBy("path").agg(F.min("cells").alias("header"))
-    rows = lines.filter(~is_header).join(headers, "path", "left")
-    order = F.when(F.col("header").isNull(), F.raise_error(F.concat(F.lit("no header row in "), F.col("path")))).otherwise(
-        F.col("header")
-    )
-    file_name = base_name(dataset_below(folder, F.col("path")))
-    ordered = rows.select(order.alias("header"), "cells", file_name.alias(CATALOG_FILE))
-    return ordered.select(
-        *[F.get("cells", (F.array_position("header", name) - 1).cast("int")).alias(name) for name in columns],
-        CATALOG_FILE,
-    )
+    groups = by_header(file_headers(spark, folder))
+    if not groups:
+        raise LayoutError(f"no delimited files below {folder!r}")
+    for line, paths in groups.items():
+        lacking = [name for name in (columns or () if required is None else required) if name not in header_names(line, separator)]
+        if lacking:
+            raise LayoutError(f"no header row with {lacking} in {paths[0]}")
+    rows = read_alike(spark, groups, separator, origin=CATALOG_FILE)
+    if columns is None:
+        return rows.select(*[top_column(name) for name in rows.columns if name != CATALOG_FILE], CATALOG_FILE)
+    return rows.select(*[(top_column(name) if name in rows.columns else F.lit(None).cast("string")).alias(name) for name in columns], CATALOG_FILE)
 
 
 def read_catalogs(spark: SparkSession, folder: str) -> DataFrame:

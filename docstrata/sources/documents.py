@@ -4,14 +4,27 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from docstrata.conventions import ORIGIN_COLUMN
+from docstrata.errors import NameClash
+from docstrata.functions.names import base_name, free_name
+from docstrata.functions.schema_walk import top_column
+from docstrata.session import is_case_sensitive
+from docstrata.sources.files import decoded_path
 
 
-def with_origin(scanned: DataFrame) -> DataFrame:
-    """Add the name of the source file as ``Filename`` to a frame just read from files."""
-    return scanned.withColumn(ORIGIN_COLUMN, scanned.metadataColumn("_metadata").getField("file_name"))
+def with_origin(scanned: DataFrame, origin_col: str = ORIGIN_COLUMN) -> DataFrame:
+    """Add the plain name of the source file to a frame just read from files. A field of that name is a ``NameClash``."""
+    reject_column(scanned, origin_col, "source file name")
+    uri = scanned.metadataColumn("_metadata").getField("file_path")
+    return scanned.withColumn(origin_col, base_name(decoded_path(uri)))
+
+
+def reject_column(df: DataFrame, name: str, purpose: str) -> None:
+    same = (lambda a: a == name) if is_case_sensitive(df.sparkSession) else (lambda a: a.lower() == name.lower())
+    if any(same(column) for column in df.columns):
+        raise NameClash(name, purpose, "field of the documents")
 
 
 def read_documents(
@@ -19,19 +32,75 @@ def read_documents(
     path: str | list[str],
     schema: T.StructType | None = None,
     multiline: bool = False,
-    origin: bool = False,
+    origin: bool | str = False,
+    rescued_col: str | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Documents from JSON files, one per line, or one object or list per file with ``multiline``.
 
-    Without ``schema`` the files are scanned once more to infer it. Pass the schema of an earlier
-    delivery to skip that scan and to keep arrays that happen to be empty. ``origin`` adds the name of
-    the source file as ``Filename``.
+    Without ``schema`` the files are scanned once more to infer it, and nothing is lost. With the schema of an earlier
+    delivery that scan is saved, and arrays that happen to be empty keep their type, but lines may hold what it
+    does not know. ``rescued_col`` (one document per line only) names a column for the whole line wherever something of it did not
+    fit: a broken line, a field the schema lacks at any depth, or a value of another type. ``strict`` stops the job at a
+    line that is no document of that schema's types instead. ``origin`` adds the name of the source file, as ``Filename`` or
+    the name given.
     """
+    origin_col = ORIGIN_COLUMN if origin is True else origin
+    if schema is not None and (rescued_col or strict) and not multiline:
+        lines = spark.read.text(path)
+        scanned = with_origin(lines, origin_col) if origin_col else lines
+        return with_rescued(scanned, "value", schema, rescued_col, strict)
     reader = spark.read.option("multiLine", multiline)
     if schema is not None:
         reader = reader.schema(schema)
+    if strict:
+        reader = reader.option("mode", "FAILFAST")
     scanned = reader.json(path)
-    return with_origin(scanned) if origin else scanned
+    return with_origin(scanned, origin_col) if origin_col else scanned
+
+
+def with_rescued(lines: DataFrame, value: str, schema: T.StructType, rescued_col: str | None, strict: bool = False) -> DataFrame:
+    """The documents in a column of JSON texts; beside them the text of each that ``schema`` does not hold entirely.
+
+    A text fits if it parses without a bad value and has no key the schema lacks: its structure, as Spark infers it for the single
+    text, is compared with the schema's.
+    """
+    if rescued_col in schema.names:
+        raise NameClash(rescued_col, "text that did not fit", "field of the documents")
+    corrupt = free_name(schema.names, "__broken")
+    other = [top_column(name) for name in lines.columns if name != value]
+    if strict:
+        parsed = F.from_json(top_column(value), schema, {"mode": "FAILFAST"})
+        return lines.where(F.trim(top_column(value)) != "").select(F.inline(F.array(parsed)), *other)
+    wide = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    parsed = lines.where(F.trim(top_column(value)) != "").withColumn(
+        "__document", F.from_json(top_column(value), wide, {"columnNameOfCorruptRecord": corrupt})
+    )
+    document = F.col("__document")
+    broken = document.isNull() | document.getField(corrupt).isNotNull() | unknown_keys(top_column(value), schema)
+    fields = [document.getField(name).alias(name) for name in schema.names]
+    return parsed.select(*fields, *other, F.when(broken, top_column(value)).alias(rescued_col))
+
+
+def unknown_keys(text: Column, schema: T.StructType) -> Column:
+    """Whether a JSON text has a key, at any depth of objects and lists of objects, that ``schema`` lacks."""
+    def any_item(items: Column, record: T.StructType) -> Column:
+        return F.exists(items, lambda item: keys(item, record))
+
+    def keys(found: Column, record: T.StructType) -> Column:
+        known = F.array(*[F.lit(name) for name in record.names]) if record.names else F.array().cast("array<string>")
+        unknown = F.size(F.array_except(F.map_keys(found), known)) > 0
+        for field in record.fields:
+            value = F.try_element_at(found, F.lit(field.name))
+            inner = field.dataType
+            if isinstance(inner, T.StructType):
+                unknown = unknown | keys(F.from_json(value, "map<string,string>"), inner)
+            elif isinstance(inner, T.ArrayType) and isinstance(inner.elementType, T.StructType):
+                items = F.from_json(value, "array<map<string,string>>")
+                unknown = unknown | any_item(items, inner.elementType)
+        return F.coalesce(unknown, F.lit(False))
+
+    return keys(F.from_json(text, "map<string,string>"), schema)
 
 
 def read_schema(spark: SparkSession, path: str) -> T.StructType:
@@ -44,17 +113,26 @@ def read_document_lists(
     path: str | list[str],
     schema: T.StructType | None = None,
     position_col: str = "list_position",
+    rescued_col: str | None = None,
 ) -> DataFrame:
     """Items of files that hold one JSON list each, with their place in the list.
 
     A file is parsed whole by one task, as a list in a file has no other unit; a single object counts
-    as a list of one.
+    as a list of one. A file that does not parse stops the job, or, with ``rescued_col``, is one row without a place
+    whose text is in that column.
     """
     if schema is None:
         schema = spark.read.option("multiLine", True).json(path).schema
-    whole = spark.read.text(path, wholetext=True)
-    items = whole.select(F.posexplode(F.from_json("value", T.ArrayType(schema))).alias(position_col, "document"))
-    return items.select(position_col, "document.*")
+    if position_col in schema.names:
+        raise NameClash(position_col, "place in the list", "field of the items")
+    whole = spark.read.text(path, wholetext=True).where(F.trim("value") != "")
+    parsed = whole.withColumn("items", F.from_json("value", T.ArrayType(schema), {"mode": "PERMISSIVE" if rescued_col else "FAILFAST"}))
+    opened = parsed.select("value", F.col("items").isNull().alias("broken"), F.posexplode_outer("items").alias(position_col, "document"))
+    fields = [F.col("document").getField(name).alias(name) for name in schema.names]
+    if not rescued_col:
+        return opened.where(F.col(position_col).isNotNull()).select(position_col, *fields)
+    lost = F.when(F.col("broken"), F.col("value")).alias(rescued_col)
+    return opened.where(F.col(position_col).isNotNull() | F.col("broken")).select(position_col, *fields, lost)
 
 
 def parse_json_column(df: DataFrame, column: str, schema: T.StructType | str, into: str | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from docstrata.conventions import CATALOG_FILE, DATA_TYPE, FIELD, HIERARCHY, ORIGIN_COLUMN, TOP_LEVEL
 from docstrata.functions.names import base_name, object_name, parent_path, routed_table
@@ -27,6 +27,7 @@ from docstrata.operators.catalog import ancestors, array_fields, schema_catalog,
 from docstrata.operators.drift import (
     ENTRIES,
     as_delimited_report,
+    group_conflicts,
     melt_types,
     pivot_types,
     type_conflicts,
@@ -42,10 +43,9 @@ from docstrata.operators.profile import profile_columns, profile_reports, profil
 from docstrata.plans.load import load_folder, two_level_rows
 from docstrata.plans.table_sets import flatten_documents, json_to_tables
 from docstrata.session import scratch_path, settle
-from docstrata.sinks.tables import write_catalog, write_delimited
-from docstrata.sources.delimited import read_catalogs
-from docstrata.sources.documents import parse_json_column, read_documents, with_origin
-from docstrata.sources.files import discover_tables, file_count, file_inventory, folder_inventory
+from docstrata.sinks.tables import write_catalog, write_delimited, write_drift_report, write_marked, write_profile, write_tables
+from docstrata.sources.delimited import read_catalogs, read_delimited, read_delimited_by_name
+from docstrata.sources.documents import parse_json_column, read_document_lists, read_documents, with_origin
 from docstrata.streaming.ingest import ingest_documents, ingested_table
 from docstrata.workload import oracles as sql
 from docstrata.workload.shapes import (
@@ -81,54 +81,86 @@ def query(check: str | None = None):
 # --- sources ---------------------------------------------------------------------------------------
 
 
-@query("SELECT event_id, user_id, event_type, value, props FROM events")
+_TS = "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')"
+
+
+def _events(spark, sf_dir):
+    """Events with their time as text, which JSON keeps to the microsecond."""
+    return table(spark, sf_dir, "events").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+@query(f"SELECT event_id, {_TS} AS ts, user_id, event_type, value, props FROM events")
 def q_json_scan(spark, sf_dir):
-    path = written_json(table(spark, sf_dir, "events").drop("ts"), "events")
-    return read_documents(spark, path)
+    return read_documents(spark, written_json(_events(spark, sf_dir), "events"))
 
 
-@query("SELECT event_type, user_id, count(*) AS n, min(event_id) AS first_id, max(event_id) AS last_id "
-       "FROM events GROUP BY event_type, user_id")
+@query("SELECT event_type, user_id, count(*) AS n, min(event_id) AS first_id, max(event_id) AS last_id, "
+       f"min({_TS}) AS first_ts, max({_TS}) AS last_ts FROM events GROUP BY event_type, user_id")
 def q_json_multiline(spark, sf_dir):
-    path = written_json_lists(table(spark, sf_dir, "events").drop("ts"), "event-lists")
+    path = written_json_lists(_events(spark, sf_dir), "event-lists")
     documents = read_documents(spark, path, multiline=True)
     return documents.groupBy("event_type", "user_id").agg(
-        F.count("*").alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id")
+        F.count("*").alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"),
+        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
     )
 
 
+@query("SELECT event_id, 0 AS gap, value FROM events")
+def q_json_lists(spark, sf_dir):
+    """List files, each item with its place: items of a file stand in the order of their ids, one place after another."""
+    events = _events(spark, sf_dir).withColumn("id_in_part", F.monotonically_increasing_id())
+    path = written_json_lists(events, "placed-lists")
+    items = read_document_lists(spark, path, events.schema, "place", rescued_col="lost")
+    # Within a list, number and place go up together; a list starts at a number its batch starts at.
+    batch = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    inside = F.col("id_in_part").bitwiseAND((1 << 33) - 1) % batch
+    return items.where("lost IS NULL").select("event_id", (inside - F.col("place")).cast("int").alias("gap"), "value")
+
+
+@query("""SELECT event_id, user_id, value,
+       CASE event_id % 5 WHEN 0 THEN 'broken' WHEN 1 THEN 'unknown field' WHEN 2 THEN 'other type' WHEN 3 THEN 'unknown inner field' END AS spoilt
+FROM events""")
+def q_rescued(spark, sf_dir):
+    """Events as JSON, four in five spoilt, read with the schema of the good ones: every line is a document or a rescued text."""
+    good = F.to_json(F.struct("event_id", "user_id", "value", F.struct("event_type").alias("kind")))
+    kind = F.col("event_id") % 5
+    line = (
+        F.when(kind == 0, F.substring(good, F.lit(2), F.length(good)))
+        .when(kind == 1, F.regexp_replace(good, r"\}$", ',"more":[1]}'))
+        .when(kind == 2, F.regexp_replace(good, '"value":[^,]*', '"value":"x"'))
+        .when(kind == 3, F.replace(good, F.lit('"kind":{'), F.lit('"kind":{"extra":1,')))
+        .otherwise(good)
+    )
+    path = scratch_path(spark, "spoilt-events")
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
+    schema = T.StructType.fromDDL("event_id bigint, user_id bigint, value double, kind struct<event_type: string>")
+    read = read_documents(spark, path, schema, rescued_col="rescued")
+    # What was rescued is the whole line, so nothing of it is lost: the ids are found in either.
+    text = F.coalesce("rescued", F.to_json(F.struct("event_id", "user_id")))
+
+    def found(name):
+        return F.regexp_extract(text, f'{name}":([0-9]+)', 1).cast("bigint").alias(name)
+
+    spoilt = (
+        F.when(~F.startswith("rescued", F.lit("{")), "broken").when(F.contains("rescued", F.lit('"more"')), "unknown field")
+        .when(F.contains("rescued", F.lit('"extra"')), "unknown inner field").when(F.col("rescued").isNotNull(), "other type")
+    )
+    rows = read.select(found("event_id"), found("user_id"), spoilt.alias("spoilt"))
+    return rows.join(table(spark, sf_dir, "events").select("event_id", "value"), "event_id")
+
+
 @query("SELECT event_id, CAST(props->>'$.k' AS BIGINT) AS k FROM events")
 def q_parse_props(spark, sf_dir):
     parsed = parse_json_column(table(spark, sf_dir, "events"), "props", "k bigint")
     return parsed.select("event_id", "props.k")
 
 
-@query("SELECT 'customer.parquet' AS \"Filename\", count(*) AS n FROM customer "
-       "UNION ALL SELECT 'orders.parquet', count(*) FROM orders UNION ALL SELECT 'part.parquet', count(*) FROM part")
+@query(" UNION ALL ".join(f"SELECT '{name}' AS table_name, true AS named, count(*) AS n FROM {name}" for name in sql.TABLE_COLUMNS))
 def q_origin_column(spark, sf_dir):
-    frames = [with_origin(table(spark, sf_dir, name)) for name in ("customer", "orders", "part")]
-    return union_by_name(frame.select(ORIGIN_COLUMN) for frame in frames).groupBy(ORIGIN_COLUMN).agg(F.count("*").alias("n"))
-
-
-@query()
-def q_file_inventory(spark, sf_dir):
-    return file_inventory(spark, sf_dir)
-
-
-@query()
-def q_file_count(spark, sf_dir):
-    return file_count(spark, sf_dir)
-
-
-@query(sql.values(["table_name"], [(f"lake.{name}",) for name in sql.TABLE_COLUMNS if name != "labels"]))
-def q_discover_tables(spark, sf_dir):
-    found = discover_tables(spark, sf_dir, "lake", suffix=".parquet", exclude=["labels.parquet"])
-    return found.select("table_name")
-
-
-@query()
-def q_folder_inventory(spark, sf_dir):
-    return folder_inventory(spark, sf_dir.rstrip("/").rsplit("/", 1)[0])
+    # A table may be one file or a folder of parts, so only the ending of the name is the same everywhere.
+    named = F.endswith(ORIGIN_COLUMN, F.lit(".parquet")).alias("named")
+    frames = [with_origin(table(spark, sf_dir, name)).select(F.lit(name).alias("table_name"), named) for name in sql.TABLE_COLUMNS]
+    return union_by_name(frames).groupBy("table_name", "named").agg(F.count("*").alias("n"))
 
 
 @query("""SELECT page_id, lower(split_part(base, '.', 1)) AS stem, 'web.' || lower(split_part(base, '.', 1)) AS target,
@@ -147,13 +179,13 @@ def q_table_names(spark, sf_dir):
 @query(f"""WITH {sql.LINES}
 SELECT text, CAST(length(text) AS INTEGER) AS n_chars, count(*) AS n FROM lines GROUP BY text""")
 def q_child_explode(spark, sf_dir):
-    lines = child_table(text_docs(spark, sf_dir, ("text", "n_chars")), "lines", keys=False)
+    lines = child_table(text_docs(spark, sf_dir), "lines", keys=False)
     return lines.groupBy("text", "n_chars").agg(F.count("*").alias("n"))
 
 
 @query(f"WITH {sql.LINES} SELECT doc_id AS root_id, pos AS lines_pos, text, CAST(length(text) AS INTEGER) AS n_chars FROM lines")
 def q_child_one_level(spark, sf_dir):
-    return child_table(text_docs(spark, sf_dir, ("text", "n_chars")), "lines")
+    return child_table(text_docs(spark, sf_dir), "lines")
 
 
 @query(f"""WITH {sql.WORDS}
@@ -161,7 +193,7 @@ SELECT doc_id AS root_id, pos AS lines_pos, wpos AS words_pos, word, CAST(length
        regexp_extract(word, '[.,]$') AS mark
 FROM words""")
 def q_child_two_levels(spark, sf_dir):
-    return child_table(text_docs(spark, sf_dir, ("words",)), "lines.words")
+    return child_table(text_docs(spark, sf_dir), "lines.words")
 
 
 @query(f"""WITH {sql.CHARGES}
@@ -178,8 +210,8 @@ UNION ALL SELECT 'lines', count(*) FROM lines
 UNION ALL SELECT 'lines_words', count(*) FROM words""")
 def q_all_children_counts(spark, sf_dir):
     # Several tables off one computed input: built once, landed, and each table reads its own columns.
-    landed = settle(text_docs(spark, sf_dir, _COUNTED_LINES), "text-documents")
-    return row_counts(flatten_documents(landed, "documents"))
+    landed = settle(text_docs(spark, sf_dir), "text-documents")
+    return row_counts(flatten_documents(landed, "documents", stored=True))
 
 
 @query(f"""WITH {sql.LINKS}, {sql.HEADS}
@@ -187,7 +219,9 @@ SELECT 'page_links' AS table_name, CAST(page_id AS VARCHAR) AS "root_id_$oid", p
        CAST(NULL AS INTEGER) AS heads_pos, CAST(NULL AS VARCHAR) AS title FROM links
 UNION ALL SELECT 'page_heads', CAST(page_id AS VARCHAR), NULL, NULL, pos, title FROM heads""")
 def q_tables_one_job(spark, sf_dir):
-    groups = batches(child_tables(page_docs(spark, sf_dir)), size=5)
+    # Landed once, so that the pages are scanned and parsed once and each table reads its own columns.
+    landed = settle(page_docs(spark, sf_dir), "page-documents")
+    groups = batches(child_tables(landed, stored=True), size=5)
     return union_by_name(tables_as_one(group) for group in groups)
 
 
@@ -226,17 +260,25 @@ SELECT CAST(w.doc_id AS VARCHAR) AS _id, CAST(length(l.text) AS VARCHAR) AS n_ch
        coalesce(nullif(regexp_extract(w.word, '[.,]$'), ''), 'NULL') AS mark
 FROM words w JOIN lines l ON l.doc_id = w.doc_id AND l.pos = w.pos""")
 def q_nested_extract(spark, sf_dir):
-    rows = two_level_rows(text_docs(spark, sf_dir, _COUNTED_LINES), "lines", "words", ["n_chars"], drop=["size"])
+    rows = two_level_rows(text_docs(spark, sf_dir), "lines", "words", ["n_chars"], drop=["size"])
     return mark_nulls(rows)
 
 
-@query(f"""WITH {sql.LINKS}
-SELECT CAST(page_id AS VARCHAR) AS "root_id_$oid", pos AS links_pos, href FROM links""")
+_PAGE_TABLES = f"""WITH {sql.LINKS}, {sql.HEADS}
+SELECT 'pages_main' AS table_name, CAST(page_id AS VARCHAR) AS "_id_$oid", url AS page_url, CAST(NULL AS VARCHAR) AS "root_id_$oid",
+       CAST(NULL AS INTEGER) AS links_pos, CAST(NULL AS VARCHAR) AS href, CAST(NULL AS INTEGER) AS heads_pos, CAST(NULL AS VARCHAR) AS title{{origin}} FROM pages
+UNION ALL SELECT 'page_links', NULL, NULL, CAST(page_id AS VARCHAR), pos, href, NULL, NULL{{origin}} FROM links
+UNION ALL SELECT 'page_heads', NULL, NULL, CAST(page_id AS VARCHAR), NULL, NULL, pos, title{{origin}} FROM heads"""
+
+
+@query(_PAGE_TABLES.format(origin=", 'part-*.json' AS \"Filename\""))
 def q_document_table_set(spark, sf_dir):
     source = written_json(page_docs(spark, sf_dir), "pages")
     target = scratch_path(spark, "page-tables")
-    json_to_tables(spark, source, target, "pages", file_format="parquet", landing=scratch_path(spark, "page-landing"))
-    return spark.read.parquet(f"{target}/page_links.parquet").drop(ORIGIN_COLUMN)
+    names = json_to_tables(spark, source, target, "pages", file_format="parquet", landing=scratch_path(spark, "page-landing"))
+    stacked = tables_as_one({name: spark.read.parquet(f"{target}/{name}.parquet") for name in names})
+    # The part files' own names differ from run to run.
+    return stacked.withColumn(ORIGIN_COLUMN, F.regexp_replace(ORIGIN_COLUMN, r"^part-.*\.json$", "part-*.json"))
 
 
 # --- index labels ----------------------------------------------------------------------------------
@@ -248,32 +290,26 @@ def q_primitive_array(spark, sf_dir):
     return flatten_labeled(vector_docs(spark, sf_dir))
 
 
-_LABELLED_WORDS = """
-SELECT l.doc_id AS _id, d.lang AS "about{dot}lang", d.source AS "about{dot}source", CAST(length(l.text) AS INTEGER) AS "lines{dot}n_chars",
-       w.word AS "lines{dot}words{dot}word", CAST(length(w.word) AS INTEGER) AS "lines{dot}words{dot}size",
-       regexp_extract(w.word, '[.,]$') AS "lines{dot}words{dot}mark",
-       {inner} AS "{lead}lines_words_index", 'lines_' || l.pos AS "{lead}lines_index"
-FROM lines l JOIN documents d ON d.doc_id = l.doc_id
-LEFT JOIN words w ON w.doc_id = l.doc_id AND w.pos = l.pos"""
-
-
-# Without the text of the lines, which would be repeated for every word.
-_COUNTED_LINES = ("n_chars", "words")
+_LABELLED_PAGES = """
+SELECT CAST(p.page_id AS VARCHAR) AS "_id{dot}$oid", p.url AS "page{dot}url", s.href AS "page{dot}links{dot}href",
+       s.step AS "page{dot}links{dot}steps", {inner} AS "{lead}page_links_steps_index", 'links_' || s.pos AS "{lead}page_links_index",
+       h.title AS "page{dot}heads{dot}title", 'heads_' || h.pos AS "{lead}page_heads_index"
+FROM pages p LEFT JOIN steps s ON s.page_id = p.page_id LEFT JOIN heads h ON h.page_id = p.page_id"""
 
 
-@query(f"WITH {sql.WORDS}" + _LABELLED_WORDS.format(dot="__", lead="_", inner="'words_' || w.wpos"))
+@query(f"WITH {sql.STEPS}, {sql.HEADS}" + _LABELLED_PAGES.format(dot="__", lead="_", inner="'steps_' || s.spos"))
 def q_labels_v1(spark, sf_dir):
-    flat = flatten_labeled(text_docs(spark, sf_dir, _COUNTED_LINES), OWN)
+    flat = flatten_labeled(page_docs(spark, sf_dir), OWN)
     # This style names columns with dots, which would have to be quoted wherever they are selected.
     return flat.toDF(*[name.replace(".", "__") for name in flat.columns])
 
 
-_CHAINED = "'lines_' || l.pos || '_words_' || w.wpos"
+_CHAINED = "'links_' || s.pos || '_steps_' || s.spos"
 
 
-@query(f"WITH {sql.WORDS}" + _LABELLED_WORDS.format(dot="_", lead="", inner=_CHAINED))
+@query(f"WITH {sql.STEPS}, {sql.HEADS}" + _LABELLED_PAGES.format(dot="_", lead="", inner=_CHAINED))
 def q_labels_v2(spark, sf_dir):
-    return flatten_labeled(text_docs(spark, sf_dir, _COUNTED_LINES), CHAIN)
+    return flatten_labeled(page_docs(spark, sf_dir), CHAIN)
 
 
 @query(f"""WITH {sql.STEPS}, {sql.HEADS}
@@ -438,35 +474,52 @@ def q_profile_many(spark, sf_dir):
     return profile_tables({name: table(spark, sf_dir, name) for name in sql.TABLE_COLUMNS})
 
 
-_REPORTED = ("customer", "part")
+_COUNT_NAMES = ("null_count", "empty_count", "integer_count", "decimal_count", "string_count")
+_LISTS = ("integer", "decimal", "string", "null")
 
 
-@query("WITH profiles AS (" + " UNION ALL ".join(
-    f"SELECT * FROM ({sql.profile_sql(t, sql.TABLE_COLUMNS[t], t)})" for t in _REPORTED
-) + """)
-SELECT "DataFrame_name", string_agg(column_name, ',' ORDER BY ordinal) AS column_names,
-       coalesce(string_agg(column_name, ',' ORDER BY ordinal) FILTER (WHERE column_class = 'integer'), '') AS integer_columns,
-       coalesce(string_agg(column_name, ',' ORDER BY ordinal) FILTER (WHERE column_class = 'decimal'), '') AS decimal_columns,
-       coalesce(string_agg(column_name, ',' ORDER BY ordinal) FILTER (WHERE column_class = 'string'), '') AS string_columns,
-       string_agg(decimal_count, ',' ORDER BY ordinal) AS decimal_counts, count(*) AS schema_fields
-FROM profiles GROUP BY "DataFrame_name\"""")
-def q_profile_json(spark, sf_dir):
-    reports = profile_reports({name: table(spark, sf_dir, name) for name in _REPORTED})
-    names = "array<string>"
+def _all_tables(spark, sf_dir):
+    return {name: table(spark, sf_dir, name) for name in sql.TABLE_COLUMNS}
+
+
+def _read_reports(reports):
+    """The values of report texts: names, classes, all counts and the number of schema fields."""
+    names, counts = "array<string>", ", ".join(f"{c}: bigint" for c in _COUNT_NAMES)
     layout = (
-        f"DataFrame_name string, column_names {names}, integer_columns {names}, decimal_columns {names}, "
-        f"string_columns {names}, schema struct<fields: array<struct<name: string>>>, "
-        "column_frequencies map<string, struct<decimal_count: bigint>>"
+        f"DataFrame_name string, column_names {names}, {', '.join(f'{c}_columns {names}' for c in _LISTS)}, "
+        f"schema struct<fields: array<struct<name: string>>>, column_frequencies map<string, struct<{counts}>>"
     )
     read = reports.select(F.from_json("report", layout).alias("r")).select("r.*")
-    counts = F.transform(
-        "column_names", lambda name: F.element_at(F.col("column_frequencies"), name)["decimal_count"].cast("string")
-    )
-    return read.select(
-        "DataFrame_name",
-        *[F.array_join(c, ",").alias(c) for c in ("column_names", "integer_columns", "decimal_columns", "string_columns")],
-        F.array_join(counts, ",").alias("decimal_counts"), F.size("schema.fields").cast("bigint").alias("schema_fields"),
-    )
+    listed = [F.array_join(c, ",").alias(c) for c in ("column_names", *(f"{c}_columns" for c in _LISTS))]
+
+    def counted(count):
+        values = F.transform("column_names", lambda name: F.element_at(F.col("column_frequencies"), name)[count].cast("string"))
+        return F.array_join(values, ",").alias(f"{count}s")
+
+    return read.select("DataFrame_name", *listed, *map(counted, _COUNT_NAMES), F.size("schema.fields").cast("bigint").alias("schema_fields"))
+
+
+_PROFILE_CHECK = "WITH profiles AS (" + " UNION ALL ".join(
+    f"SELECT * FROM ({sql.profile_sql(t, c, t)})" for t, c in sql.TABLE_COLUMNS.items()
+) + """)
+SELECT "DataFrame_name", string_agg(column_name, ',' ORDER BY ordinal) AS column_names,
+""" + "".join(
+    f"coalesce(string_agg(column_name, ',' ORDER BY ordinal) FILTER (WHERE column_class = '{c}'), '') AS {c}_columns,\n" for c in _LISTS
+) + "".join(f"string_agg({c}, ',' ORDER BY ordinal) AS {c}s,\n" for c in _COUNT_NAMES) + "count(*) AS schema_fields FROM profiles GROUP BY \"DataFrame_name\""
+
+
+@query(_PROFILE_CHECK)
+def q_profile_json(spark, sf_dir):
+    return _read_reports(profile_reports(_all_tables(spark, sf_dir)))
+
+
+@query(_PROFILE_CHECK)
+def q_profile_file(spark, sf_dir):
+    """The report file: one JSON list of all tables' reports."""
+    path = scratch_path(spark, "profile")
+    write_profile(_all_tables(spark, sf_dir), path)
+    listed = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "array<string>")).alias("report"))
+    return _read_reports(listed)
 
 
 # --- drift -----------------------------------------------------------------------------------------
@@ -503,11 +556,23 @@ def q_type_conflicts_report(spark, sf_dir):
 
 
 @query(f"""WITH {sql.CATALOG}
-SELECT field AS "Field", dtype AS "Data Type", 0 AS part, string_agg(file, ', ' ORDER BY file) AS filename FROM grid
+SELECT field AS "Field", dtype AS "Data Type", file AS filename FROM grid
+WHERE field IN (SELECT field FROM grid GROUP BY field HAVING count(DISTINCT dtype) > 1)""")
+def q_type_conflicts_missing(spark, sf_dir):
+    """Conflicts by groups of alike files; one join with the groups' members names every file."""
+    conflicts, members = group_conflicts(event_entries(spark, sf_dir))
+    return conflicts.join(members, "file_group").select(FIELD, DATA_TYPE, CATALOG_FILE)
+
+
+@query(f"""WITH {sql.CATALOG}
+SELECT field AS "Field", dtype AS "Data Type", '0' AS part, string_agg(file, ', ' ORDER BY file) AS filename FROM grid
 WHERE field IN (SELECT field FROM grid GROUP BY field HAVING count(DISTINCT dtype) > 1)
 GROUP BY field, dtype""")
-def q_type_conflicts_missing(spark, sf_dir):
-    return as_delimited_report(type_conflicts_with_absence(event_entries(spark, sf_dir)))
+def q_drift_report_file(spark, sf_dir):
+    """The report with every file named, written as a delimited file and read back."""
+    path = scratch_path(spark, "drift-report")
+    write_drift_report(type_conflicts_with_absence(event_entries(spark, sf_dir)), path)
+    return read_delimited(spark, path)
 
 
 _FILES = [f"file_{i:02d}" for i in range(CATALOG_FILES)]
@@ -522,7 +587,10 @@ def q_pivot_types(spark, sf_dir):
 
 @query(f"""WITH {sql.CATALOG} SELECT field AS "Field", file AS filename, dtype AS "Data Type" FROM grid""")
 def q_melt_types(spark, sf_dir):
-    return melt_types(pivot_types(event_entries(spark, sf_dir)))
+    """Wide to long over a given list of files; over files not listed beforehand the same rows come from ``types_by_file``."""
+    entries = event_entries(spark, sf_dir)
+    long = melt_types(pivot_types(entries, _FILES))
+    return long.join(entries.select(CATALOG_FILE).distinct(), CATALOG_FILE, "left_semi")
 
 
 @query(CHECKS["q_melt_types"])
@@ -539,29 +607,85 @@ SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, CAST(c_nationkey AS VARCHAR) AS
        nullif(nothing, '') AS nothing
 FROM patchy""")
 def q_csv_load(spark, sf_dir):
-    folder, name = scratch_path(spark, "delimited"), f"customers_{uuid.uuid4().hex[:12]}"
-    write_delimited(patchy_customers(spark, sf_dir), f"{folder}/{name}.csv")
-    load_folder(spark, folder, location=scratch_path(spark, "warehouse"))
-    return spark.table(name)
+    return _loaded(patchy_customers(spark, sf_dir), "customers")
+
+
+def _loaded(rows, stem):
+    """Rows written as a delimited table, loaded into the catalogue, and read from there; the catalogue's entry goes again."""
+    spark, name = rows.sparkSession, f"{stem}_{uuid.uuid4().hex[:12]}"
+    folder, warehouse = scratch_path(spark, "delimited"), scratch_path(spark, "warehouse")
+    write_delimited(rows, f"{folder}/{name}.csv")
+    load_folder(spark, folder, location=warehouse)
+    schema = spark.table(name).schema
+    spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+    return spark.read.schema(schema).parquet(f"{warehouse}/{name}")
 
 
-@query("""SELECT 'document' AS kind, CAST(doc_id AS VARCHAR) AS id, nullif(text, '') AS body FROM documents
-UNION ALL SELECT 'page', CAST(page_id AS VARCHAR), nullif(html, '') FROM pages""")
+@query("""SELECT 'document' AS kind, CAST(doc_id AS VARCHAR) AS id, nullif(text, '') AS body, nullif(lang, '') AS lang, nullif(source, '') AS source,
+       CAST(n_chars AS VARCHAR) AS n_chars, NULL AS url FROM documents
+UNION ALL SELECT 'page', CAST(page_id AS VARCHAR), nullif(html, ''), NULL, NULL, NULL, nullif(url, '') FROM pages""")
 def q_csv_text_load(spark, sf_dir):
-    """Whole texts with line breaks, quotes and separators through delimited files into a table."""
-    documents = table(spark, sf_dir, "documents").select(F.lit("document").alias("kind"), "doc_id", "text")
-    pages = table(spark, sf_dir, "pages").select(F.lit("page").alias("kind"), "page_id", "html")
-    folder, name = scratch_path(spark, "texts"), f"texts_{uuid.uuid4().hex[:12]}"
-    write_delimited(documents.union(pages).toDF("kind", "id", "body"), f"{folder}/{name}.csv")
-    load_folder(spark, folder, location=scratch_path(spark, "warehouse"))
-    return spark.table(name)
+    """Whole rows with line breaks, quotes and separators through delimited files into a table."""
+    documents = table(spark, sf_dir, "documents").withColumnsRenamed({"doc_id": "id", "text": "body"}).withColumn("kind", F.lit("document"))
+    pages = table(spark, sf_dir, "pages").withColumnsRenamed({"page_id": "id", "html": "body"}).withColumn("kind", F.lit("page"))
+    return _loaded(union_by_name([documents, pages]), "texts").select("kind", "id", "body", "lang", "source", "n_chars", "url")
+
+
+@query("SELECT CASE WHEN o_orderkey % 3 = 2 THEN nullif(o_orderstatus, '') END AS note FROM orders")
+def q_one_column_load(spark, sf_dir):
+    """A table of one column keeps its null and empty rows."""
+    key = F.col("o_orderkey") % 3
+    return _loaded(table(spark, sf_dir, "orders").select(F.when(key == 1, "").when(key == 2, F.col("o_orderstatus")).alias("note")), "notes")
+
+
+@query(f"""WITH {sql.PATCHY}
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, CAST(c_nationkey AS VARCHAR) AS c_nationkey, coalesce(segment, 'NULL') AS segment,
+       coalesce(balance, 'NULL') AS balance, coalesce(nation_text, 'NULL') AS nation_text, coalesce(price_text, 'NULL') AS price_text,
+       coalesce(nothing, 'NULL') AS nothing FROM patchy""")
+def q_marked_file(spark, sf_dir):
+    """Nulls as a marker in a file; empty text shows as nothing, and is made empty text again after reading."""
+    path = scratch_path(spark, "marked")
+    write_marked(patchy_customers(spark, sf_dir), path)
+    return read_delimited(spark, path).na.fill("")
+
+
+@query("""SELECT table_name, row_count FROM (
+SELECT 'orders' AS table_name, count(*) AS row_count FROM orders UNION ALL SELECT 'small', count(*) FROM orders WHERE o_totalprice < 20000
+UNION ALL SELECT 'none', count(*) FROM orders WHERE o_totalprice < 0) WHERE row_count > 0""")
+def q_skip_empty(spark, sf_dir):
+    """Tables without rows are not written."""
+    orders, folder = table(spark, sf_dir, "orders"), scratch_path(spark, "order-tables")
+    tables = {"orders": orders, "small": orders.where("o_totalprice < 20000"), "none": orders.where("o_totalprice < 0")}
+    written = write_tables(tables, folder, "parquet", skip_empty=True)
+    return row_counts({name: spark.read.parquet(f"{folder}/{name}.parquet") for name in written})
+
+
+@query("SELECT vec_id AS root_id, CAST(UNNEST(range(len(embedding))) AS INTEGER) AS embedding_pos, UNNEST(embedding) AS embedding FROM embeddings")
+def q_primitive_table(spark, sf_dir):
+    """A table of its own for an array of plain values."""
+    return child_tables(vector_docs(spark, sf_dir), primitive_arrays=True)["embedding"]
+
+
+@query("SELECT 'customers.csv' AS filename, CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation FROM customer "
+       "UNION ALL SELECT 'all suppliers+.csv', CAST(s_suppkey AS VARCHAR), s_name, CAST(s_nationkey AS VARCHAR) FROM supplier")
+def q_delimited_by_name(spark, sf_dir):
+    """Two tables in many part files, their columns in different orders and far to the right, as one by name."""
+    folder = scratch_path(spark, "by-name")
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"))
+    suppliers = table(spark, sf_dir, "supplier").select(
+        F.col("s_nationkey").alias("nation"), *[F.lit("x").alias(f"filler_{i}") for i in range(80)], F.col("s_name").alias("name"), F.col("s_suppkey").alias("id")
+    )
+    write_delimited(customers.repartition(3), f"{folder}/customers.csv")
+    write_delimited(suppliers.repartition(2), f"{folder}/deep/all suppliers+.csv")
+    return read_delimited_by_name(spark, folder, ["id", "name", "nation"])
 
 
-@query(f"WITH {sql.LINKS} SELECT CAST(page_id AS VARCHAR) AS \"root_id_$oid\", pos AS links_pos, href FROM links")
+@query(_PAGE_TABLES.format(origin=""))
 def q_stream_ingest(spark, sf_dir):
     docs = page_docs(spark, sf_dir)
     source = written_json(docs, "stream-source")
     target, checkpoint = scratch_path(spark, "stream-tables"), scratch_path(spark, "stream-checkpoint")
     for _ in range(2):  # the second run finds nothing new
         ingest_documents(spark, source, docs.schema, target, checkpoint, "pages").awaitTermination()
-    return ingested_table(spark, target, "page_links")
+    names = ("pages_main", "page_links", "page_heads")
+    return tables_as_one({name: ingested_table(spark, target, name) for name in names})

@@ -178,7 +178,7 @@ def test_stacked_tables_keep_all_rows(json_docs):
 def test_child_scan_reads_only_its_array(spark, json_docs, tmp_path):
     docs = json_docs('{"_id":1,"big":"text","a":[{"x":1,"b":[{"y":1,"z":2}]}],"c":[{"w":1}]}')
     docs.write.parquet(str(tmp_path / "landed"))
-    plan = child_table(spark.read.parquet(str(tmp_path / "landed")), "a.b")._jdf.queryExecution().executedPlan().toString()
+    plan = child_table(spark.read.parquet(str(tmp_path / "landed")), "a.b", stored=True)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<_id:bigint,a:array<struct<b:array<struct<y:bigint,z:bigint>>>>>" in plan
     assert "Exchange" not in plan
 
@@ -194,29 +194,42 @@ def _records(**fields):
 
 
 def test_tables_of_a_deep_document_type(spark):
-    leaf = {"v": "", "info": {"w": ""}}
+    """An array in an array, one under three structs with another within it, and one name under two parents."""
+    reading = {"value": "", "unit": {"sign": ""}}
     schema = _records(
         _id="",
-        people=[{
-            "phone": [leaf], "checks": [leaf], "business": {"taxes": [leaf]},
-            "contacts": [{"phone": [leaf], "name": ""}],
-            "custom": {"aLog": [leaf], "Policy": {"oAdd": {"aAsked": [{"aMember": [leaf], "q": ""}]}}},
+        buoys=[{
+            "waves": [reading], "hull": {"bow": {"deck": {"lamps": [{"bulbs": [reading], "colour": ""}]}}},
+            "moorings": [{"waves": [reading], "depth": ""}],
         }],
-        visit={"log": [leaf]},
-        creditDetails=[{"outputs": [leaf]}],
-        salesDetails=[{"outputs": [leaf]}],
+        station={"tides": [reading]},
+        north=[{"alarms": [reading]}],
+        south=[{"alarms": [reading]}],
     )
     tables = child_tables(spark.createDataFrame([], schema))
     assert list(tables) == [
-        "people", "people_phone", "people_checks", "people_business_taxes", "people_contacts", "people_contacts_phone",
-        "people_custom_aLog", "people_custom_Policy_oAdd_aAsked", "people_custom_Policy_oAdd_aAsked_aMember", "visit_log",
-        "creditDetails", "creditDetails_outputs", "salesDetails", "salesDetails_outputs",
+        "buoys", "buoys_waves", "buoys_hull_bow_deck_lamps", "buoys_hull_bow_deck_lamps_bulbs", "buoys_moorings",
+        "buoys_moorings_waves", "station_tides", "north", "north_alarms", "south", "south_alarms",
     ]
-    assert tables["people_custom_Policy_oAdd_aAsked_aMember"].columns == [
-        "root_id", "people_pos", "aAsked_pos", "aMember_pos", "v", "info_w"
+    assert tables["buoys_hull_bow_deck_lamps_bulbs"].columns == [
+        "root_id", "buoys_pos", "lamps_pos", "bulbs_pos", "value", "unit_sign"
     ]
-    assert tables["salesDetails_outputs"].columns == ["root_id", "salesDetails_pos", "outputs_pos", "v", "info_w"]
-    assert tables["people"].columns == ["root_id", "people_pos"]
+    assert tables["south_alarms"].columns == ["root_id", "south_pos", "alarms_pos", "value", "unit_sign"]
+    assert tables["buoys"].columns == ["root_id", "buoys_pos"]
+
+
+def test_computed_arrays_are_built_once(spark):
+    for df in (text_docs(spark, SF_DIR), text_docs(spark, SF_DIR)):
+        plan = child_table(df, "lines.words")._jdf.queryExecution().executedPlan().toString()
+        assert not [line for line in plan.splitlines() if "Filter" in line and ("split(" in line or "transform(" in line)]
+
+
+def test_arrays_of_plain_values_get_tables_on_request(spark):
+    docs = spark.sql("SELECT 1 AS _id, array(5, 6) AS n, array(named_struct('t', array('a'))) AS s")
+    tables = child_tables(docs, primitive_arrays=True)
+    assert list(tables) == ["n", "s", "s_t"] and list(child_tables(docs)) == ["s"]
+    assert [tuple(r) for r in tables["n"].collect()] == [(1, 0, 5), (1, 1, 6)]
+    assert [tuple(r) for r in tables["s_t"].collect()] == [(1, 0, 0, "a")]
 
 
 def test_clashes_follow_the_case_setting_of_the_session(spark):
