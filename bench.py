@@ -34,6 +34,8 @@ HEADLINE = (
     "q_json_scan",
     "q_csv_load",
     "q_stream_ingest",
+    "q_delimited_by_name",
+    "q_rescued",
 )
 
 
