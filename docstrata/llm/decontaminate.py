@@ -29,6 +29,7 @@ UNITS = (
     "usd eur gbp dollar dollars euro euros cent cents pound pounds percent degrees miles meters metres kilometers "
     "kilometres grams kilograms liters litres inches feet"
 ).split()
+UNIT_WORDS = "|".join(sorted(UNITS, key=lambda u: (-len(u), u)))
 NAME_MARK, UNIT_MARK = "\x01", "\x02"
 NAME, UNIT, NUMBER = 1, 2, 3
 TOKEN = r"[\x01\x02]?[0-9]+([.,][0-9]+)*|[\x01\x02]?\p{L}[\p{L}\p{M}]*"
@@ -38,8 +39,7 @@ def tokens(text: Column) -> Column:
     """Words and numbers in turn; names and units carry a mark in front. A null text has none."""
     plain = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x01\x02]", " ")
     named = F.regexp_replace(plain, r"([\p{L}\p{N},;:]\s+)(\p{Lu}\p{Ll})", f"$1{NAME_MARK}$2")
-    units = "|".join(sorted(UNITS, key=lambda u: (-len(u), u)))
-    marked = F.regexp_replace(named, rf"([0-9]\s?)((?:{units})\b)", f"$1{UNIT_MARK}$2")
+    marked = F.regexp_replace(named, rf"([0-9]\s?)({UNIT_WORDS})([^\p{{L}}\p{{M}}\p{{N}}]|$)", f"$1{UNIT_MARK}$2$3")
     return F.regexp_extract_all(marked, F.lit(f"({TOKEN})"), F.lit(1))
 
 
