@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from docstrata.llm.decontaminate import ENOUGH_PART, ENOUGH_TOKENS, SHORTEST, UNIT_WORDS, WINDOW
 from docstrata.llm.embeddings import COSINE
+from docstrata.llm.suffix_dedup import LENGTH
 
 
 def _tokens(text: str) -> str:
@@ -74,3 +75,29 @@ reach AS (
 SELECT node AS vec_id, (SELECT count(*) FROM links WHERE a = node) AS n_links, min(other) AS component_id, node = min(other) AS kept
 FROM reach GROUP BY node
 """
+
+OP4 = f"""
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+places AS (SELECT doc_id, h, UNNEST(range(len(h) // 2)) AS p FROM texts),
+strings AS (
+  SELECT doc_id, p, substr(h, CAST(2 * p + 1 AS BIGINT), 2) AS b,
+         CASE WHEN p + {LENGTH} <= len(h) // 2 THEN md5(substr(h, CAST(2 * p + 1 AS BIGINT), {2 * LENGTH})) END AS string
+  FROM places
+),
+marked AS (
+  SELECT doc_id, p, b, string IS NOT NULL AND row_number() OVER (PARTITION BY string ORDER BY doc_id, p) > 1 AS again FROM strings
+),
+covered AS (
+  SELECT doc_id, p, b, max(CAST(again AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN {LENGTH - 1} PRECEDING AND CURRENT ROW) AS gone
+  FROM marked
+),
+edges AS (SELECT *, lag(gone, 1, 0) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM covered),
+counted AS (
+  SELECT doc_id, CAST(sum(gone) AS BIGINT) AS n_removed, count(*) FILTER (WHERE gone = 1 AND before = 0) AS n_spans,
+         coalesce(string_agg(b, '' ORDER BY p) FILTER (WHERE gone = 0), '') AS kept
+  FROM edges GROUP BY doc_id
+)
+SELECT t.doc_id AS doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM texts t LEFT JOIN counted c ON t.doc_id = c.doc_id
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docstrata.llm.checks import OP1, OP10
+from docstrata.llm.checks import OP1, OP4, OP10
 from docstrata.llm.decontaminate import op1_template_windows
 from docstrata.llm.embeddings import op10_cap_filters
 from docstrata.llm.langid import op8_rank_profiles
@@ -15,4 +15,4 @@ from docstrata.llm.simhash import op5_popcount_grid
 from docstrata.llm.suffix_dedup import op4_previous_factors
 
 QUERIES = {f.__name__: f for f in (op1_template_windows, op2_concat_and_cut, op3_license_notices, op4_previous_factors, op5_popcount_grid, op6_compact_windows, op7_byte_cnn, op8_rank_profiles, op9_structural_secrets, op10_cap_filters)}
-CHECKS: dict[str, str] = {"op1_template_windows": OP1, "op10_cap_filters": OP10}
+CHECKS: dict[str, str] = {"op1_template_windows": OP1, "op4_previous_factors": OP4, "op10_cap_filters": OP10}
