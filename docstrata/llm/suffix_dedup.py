@@ -30,13 +30,13 @@ from docstrata.llm.common import doc_order, documents, numbered, settle, whole_g
 LENGTH = 100
 GRAM = 32
 #: Bytes that are hashed at once; longer texts are taken in pieces that overlap by a window.
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 PLACE_BITS = 24
 #: Documents in which frequent grams are looked for, how often they must occur there, and how many are kept. They only
 #: decide which gram a window chooses, never what is found.
 SAMPLE, FREQUENT, MOST_FREQUENT = 2000, 4, 200_000
 #: Fragments of one gram that are put in suffix order together; grams with more are compared window by window instead.
-MOST_TOGETHER = 20_000
+MOST_TOGETHER = 4_000
 #: Bytes of fragments that are put in suffix order at once, if their grams are small enough.
 TOGETHER = 1 << 20
 
@@ -186,47 +186,46 @@ def _candidates(frequent, length: int):
 def _by_gram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """From rows sorted by gram, content, order and place: copies as covered, and grams with several contents as candidates.
 
-    Only the first fragment of a gram and the last row are held over from batch to batch.
+    Only the first fragment of the gram at hand is held over from batch to batch.
     """
-    first, several, content = None, False, None
+    first, gram_at_end, content_at_end, several = None, None, None, False
     for batch in batches:
-        done = batch[batch["kind"] == COVERED]
-        if len(done):
-            yield done
-        rows = batch[batch["kind"] == CANDIDATE]
-        if not len(rows):
-            continue
-        own = int(first["gram"].iat[0]) if first is not None else None
-        joined = rows if own is None else pd.concat([first, rows])
-        gram, text = joined["gram"].to_numpy(), joined["content"].to_numpy()
-        new = np.r_[True, gram[1:] != gram[:-1]]
-        group = np.cumsum(new) - 1
-        fresh = np.r_[True, new[1:] | (text[1:] != text[:-1])]
-        if own is not None and len(joined) > 1 and not new[1] and text[1] == content:
-            fresh[1] = False  # goes on with the content that ended the last batch
-        mixed = np.zeros(group[-1] + 1, bool)
-        mixed[group[fresh & ~new]] = True
-        if several:
-            mixed[0] = True
-        out = fresh & mixed[group]
-        if several or own is None:
-            out[0] = out[0] and own is None
-        repeat = joined[~fresh]
-        if len(repeat):
-            yield repeat.assign(kind=COVERED)
-        if out.any():
-            yield joined[out]
-        start = int(np.flatnonzero(new)[-1])
-        several = bool(mixed[group[-1]])
-        first, content = joined.iloc[start : start + 1], text[-1]
+        kind = batch["kind"].to_numpy()
+        place = np.flatnonzero(kind == CANDIDATE)
+        keep = kind == COVERED
+        if len(place):
+            gram, text = batch["gram"].to_numpy()[place], batch["content"].to_numpy()[place]
+            goes_on = gram_at_end is not None and gram[0] == gram_at_end
+            new = np.r_[not goes_on, gram[1:] != gram[:-1]]
+            fresh = new | np.r_[text[0] != content_at_end if goes_on else True, text[1:] != text[:-1]]
+            group = np.cumsum(new) - new[0]
+            mixed = np.zeros(group[-1] + 1, bool)
+            mixed[group[fresh & ~new]] = True
+            if goes_on and mixed[0] and not several:
+                yield first  # only now it is known that the gram has another content
+            if goes_on:
+                mixed[0] |= several
+            kind = kind.copy()
+            kind[place[~fresh]] = COVERED
+            keep[place[~fresh]] = True
+            keep[place[fresh & mixed[group]]] = True
+            start = int(np.flatnonzero(group == group[-1])[0])
+            if new[start]:
+                first = batch.iloc[place[start] : place[start] + 1]
+            gram_at_end, content_at_end, several = gram[-1], text[-1], bool(mixed[group[-1]])
+        if keep.any():
+            yield batch[keep].assign(kind=kind[keep])
 
 
 def ranks(data: np.ndarray, length: int) -> np.ndarray:
     """For every place the rank of the ``length`` bytes from there, in the order of suffixes; equal strings rank alike."""
-    n = len(data)
-    padded = np.zeros(n + 2 * length + 8, np.int64)
+    n, done = len(data), min(7, length)
+    padded = np.zeros(n + 2 * length, np.int64)
     padded[:n] = data
-    rank, done = padded[: n + length], 1
+    rank = np.zeros(n + length, np.int64)
+    for j in range(done):
+        rank = (rank << 8) | padded[j : j + n + length]
+    _, rank = np.unique(rank, return_inverse=True)
     while done < length:
         step = min(done, length - done)
         ahead = np.zeros(len(rank), np.int64)
@@ -269,8 +268,10 @@ def _suffix_order(length: int):
         row = np.repeat(np.arange(len(texts)), windows)
         offset = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
         order, place = group["ord"].to_numpy()[row], group["start"].to_numpy(np.int64)[row] + offset
-        _, position = np.unique(np.stack([order, place], axis=1), axis=0, return_inverse=True)
-        hit = np.flatnonzero(matched_earlier(np.frombuffer(b"".join(texts), np.uint8), begin[row] + offset, position.ravel(), length))
+        by = np.lexsort((place, order))
+        position = np.empty(len(by), np.int64)
+        position[by] = np.cumsum(np.r_[False, (order[by][1:] != order[by][:-1]) | (place[by][1:] != place[by][:-1])])
+        hit = np.flatnonzero(matched_earlier(np.frombuffer(b"".join(texts), np.uint8), begin[row] + offset, position, length))
         if not len(hit):
             return pd.DataFrame({"ord": [], "start": [], "length": []})
         cut = np.flatnonzero((np.diff(hit) != 1) | (row[hit][1:] != row[hit][:-1])) + 1
