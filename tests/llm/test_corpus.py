@@ -238,3 +238,23 @@ def test_recall_on_the_given_vectors(spark):
     found = sum(r["n_links"] for r in embeddings.near_duplicates(table).collect())
     want = 2 * len(links_by_hand(vectors))
     assert 0.99 * want <= found <= want
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_fragments_are_sorted_out_alike_however_batches_fall(seed):
+    import pandas as pd
+
+    rng = random.Random(seed)
+    rows = sorted({(rng.randrange(5), rng.randrange(3), rng.randrange(9), rng.randrange(4)) for _ in range(40)})
+    frame = pd.DataFrame(rows, columns=["gram", "content", "ord", "start"]).assign(length=100, kind=0)
+    frame.loc[frame.sample(5, random_state=seed).index, "kind"] = 1
+    open_ = frame[frame["kind"] == 0]
+    first = ~open_.duplicated(["gram", "content"])
+    mixed = open_.groupby("gram")["content"].transform("nunique") > 1
+    want = {(*r, 1) for r in open_[~first][["gram", "content", "ord", "start"]].itertuples(index=False)}
+    want |= {(*r, 0) for r in open_[first & mixed][["gram", "content", "ord", "start"]].itertuples(index=False)}
+    want |= {(*r, 1) for r in frame[frame["kind"] == 1][["gram", "content", "ord", "start"]].itertuples(index=False)}
+    for size in (1, 2, 3, 7, 100):
+        batches = (frame.iloc[i : i + size] for i in range(0, len(frame), size))
+        found = [tuple(r) for part in suffix_dedup._by_gram(batches) for r in part[["gram", "content", "ord", "start", "kind"]].itertuples(index=False)]
+        assert len(found) == len(want) and set(found) == want
