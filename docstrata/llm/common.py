@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docstrata.session import settle
 
-__all__ = ["LAST_ID", "documents", "doc_order", "free_name", "held_out", "numbered", "settle", "whole_groups", "with_result"]
+__all__ = ["LAST_ID", "bounded_batches", "documents", "doc_order", "free_name", "held_out", "numbered", "settle", "whole_groups", "with_result"]
 
 #: Documents without an id come after all others wherever an order is needed.
 LAST_ID = (1 << 63) - 1
@@ -28,11 +28,23 @@ def free_name(taken: Iterable[str], stem: str) -> str:
     return stem
 
 
+#: Rows that a Python task is handed at once, at most. Whole texts are handed over, so this bounds what a worker holds.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Have the session hand at most ``BATCH_ROWS`` rows at once to Python tasks; a smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def with_result(df: DataFrame, text: str, function, returns: str, stem: str = "found") -> tuple[DataFrame, str]:
     """``df`` with what ``function`` makes of each batch of column ``text`` as a column, and that column's name.
 
     The function counts as non-deterministic so that no filter or field access runs it a second time.
     """
+    bounded_batches(df.sparkSession)
     name = free_name(df.columns, stem)
     if returns.count(" ") and not returns.startswith(("array", "struct")):
         def typed(texts: pd.Series) -> pd.DataFrame:

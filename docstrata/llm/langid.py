@@ -15,13 +15,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from docstrata.llm.common import documents, held_out, with_result
+from docstrata.llm.common import bounded_batches, documents, held_out, with_result
 
 UNDETERMINED = "und"
 PROFILE_SIZE = 300
 #: Characters counted at once in training, and counted n-grams a task holds before it hands them on.
-CHUNK = 1 << 20
-FLUSH_AT = 500_000
+CHUNK = 1 << 18
+FLUSH_AT = 250_000
 #: Learned values are broadcast as one table; a column with more of them is no language column.
 MAX_LANGUAGES = 2_000
 #: Parts of a language's n-grams that are ranked apart before the last ranking.
@@ -120,6 +120,7 @@ def _partial_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", size: int = PROFILE_SIZE) -> Profiles:
     """Profiles of every non-null value of ``lang`` over all rows given. Null texts teach nothing."""
+    bounded_batches(labelled.sparkSession)
     rows = labelled.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"))
     counts = rows.where("lang IS NOT NULL AND text IS NOT NULL").mapInPandas(_partial_counts, "lang string, gram long, n long")
     total = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).withColumn("part", F.pmod(F.hash("gram"), F.lit(RANK_PARTS)))

@@ -18,19 +18,18 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from docstrata.llm.common import documents, settle
+from docstrata.llm.common import bounded_batches, documents, settle
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 WINDOW = 4096
 #: Words whose tokens a worker remembers, and texts it splits at once.
-KEPT_WORDS, AT_ONCE = 1_000_000, 256
+KEPT_WORDS, AT_ONCE = 600_000, 128
 LONGEST_KEPT = 48
 WORD_END = "</w>"
 
 #: Letters up to U+024F without the dotted capital I: one to one in lower case, unchanged by normalisation.
 UNUSUAL = re.compile("[^\\x00-\\u012f\\u0131-\\u024f]")
-SPACES = str.maketrans("\t\n\r", "   ")
 PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -86,7 +85,7 @@ class Encoder:
             known[word] = known[letters] + known[rest]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [(t if UNUSUAL.search(t) else t.lower()).translate(SPACES).split(" ") for t in texts]
+        split = [(t if UNUSUAL.search(t) else t.lower()).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         if len(self.known) > KEPT_WORDS:
             self.known.clear()
         new = set().union(*split) - self.known.keys()
@@ -117,6 +116,7 @@ def token_shares(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", to
                 reached += int(sizes.sum())
                 yield pd.DataFrame({"doc_id": rows["doc_id"].array, "share": share, "place": starts, "doc_tokens": sizes, "ids": ids})
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     return rows.mapInPandas(encode, "doc_id long, share int, place long, doc_tokens long, ids binary")
 
