@@ -1,8 +1,10 @@
-"""Order-free comparison of a Spark result with a SQL result."""
+"""The tables that tests read, and the order-free comparison of a Spark result with a SQL result."""
 
 import math
 from collections import Counter
 
+SF_DIR = "/root/testdata/sf0.001"
+
 
 def plain(value):
     if isinstance(value, float):

@@ -6,12 +6,11 @@ import duckdb
 import pytest
 
 ROOT = Path(__file__).resolve().parents[1]
-sys.path.insert(0, str(ROOT))
+sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
+from compare import SF_DIR  # noqa: E402
 from docstrata.session import build_session  # noqa: E402
 
-SF_DIR = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

@@ -8,7 +8,7 @@ from docstrata.functions.schema_walk import array_paths
 from docstrata.operators.extract import batches, row_counts, tables_as_one
 from docstrata.plans.table_sets import flatten_documents
 from docstrata.workload.shapes import text_docs
-from conftest import SF_DIR
+from compare import SF_DIR
 
 
 def rows(df):

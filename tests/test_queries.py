@@ -3,8 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
-from compare import duck_rows, spark_rows
-from conftest import SF_DIR
+from compare import SF_DIR, duck_rows, spark_rows
 from docstrata.workload.queries import CHECKS, QUERIES
 
 
