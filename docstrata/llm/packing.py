@@ -19,82 +19,71 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from docstrata.llm.common import bounded_batches, documents, settle
+from docstrata.llm.words import TextEncoder, plain_ids
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 WINDOW = 4096
-#: Words whose tokens a worker remembers, and texts it splits at once.
-KEPT_WORDS, AT_ONCE = 600_000, 128
-LONGEST_KEPT = 48
+#: Texts a worker encodes at once.
+AT_ONCE = 128
 WORD_END = "</w>"
 
 #: Letters up to U+024F without the dotted capital I: one to one in lower case, unchanged by normalisation.
 UNUSUAL = re.compile("[^\\x00-\\u012f\\u0131-\\u024f]")
 PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: What a byte is; bytes of digits and of letters beyond ASCII are neither.
+BLANK, LETTER, MARK = 1, 2, 3
+KIND = np.zeros(256, np.uint8)
+for _kind, _bytes in ((BLANK, b" \t\r\n"), (LETTER, bytes(range(97, 123))), (MARK, PUNCTUATION.encode())):
+    KIND[list(_bytes)] = _kind
 
 
-class Encoder:
-    """Token ids of texts as little-endian 32-bit numbers, words remembered.
+class Encoder(TextEncoder):
+    """Token ids of texts by words.
 
     The tokenizer drops white space and no token spans it, so a text's ids are its words' ids in turn. Plain letters
     followed by ASCII punctuation are two tokens or more, cut between the two.
     """
 
     def __init__(self, name: str):
-        import public_tokenizers
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        super().__init__(name)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
 
-    def raw(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def lines(self, words: list[str]) -> list[bytes]:
-        """Words of plain letters, each one pre-token, many to a call: their ids end at the tokens that end a word."""
-        ids = [i for found in self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False) for i in found.ids]
-        cuts = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
-        if len(cuts) != len(words) + 1:
-            return self.raw(words)
-        data = np.array(ids, "<u4").tobytes()
-        return [data[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:])]
-
-    def learn(self, words: set[str]) -> None:
-        known, parts, missing, plain = self.known, {}, set(), set()
-        for word in words:
-            letters = word.rstrip(PUNCTUATION)
-            if letters and letters.isalpha() and not UNUSUAL.search(letters):
-                if letters not in known:
-                    plain.add(letters)
-                if letters != word:
-                    rest = word[len(letters) :]
-                    parts[word] = letters, rest
-                    if rest not in known:
-                        missing.add(rest)
-            else:
-                missing.add(word)
-        for order, encode in ((list(missing), self.raw), (list(plain), self.lines)):
-            if order:
-                known.update(zip(order, encode(order)))
-        for word, (letters, rest) in parts.items():
-            known[word] = known[letters] + known[rest]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [(t if UNUSUAL.search(t) else t.lower()).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-        new = set().union(*split) - self.known.keys()
-        self.learn(new)
-        out = [b"".join(map(self.known.__getitem__, words)) for words in split]
-        for word in new:
-            if len(word) > LONGEST_KEPT:
-                self.known.pop(word, None)
-        return out
+    def learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        plain = np.fromiter((w.isalpha() and not UNUSUAL.search(w) for w in words), bool, len(words))
+        many = [w for w, p in zip(words, plain.tolist()) if p]
+        # Words of plain letters are one pre-token each, so many of them go into one call and end at the tokens that end a word.
+        ids = plain_ids(self.tokenizer, [" ".join(many)])[0]
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(many):
+            return super().learn(words)
+        ids, sizes = (np.r_[a, b] for a, b in zip((ids, np.diff(ends, prepend=0)), super().learn([w for w, p in zip(words, plain.tolist()) if not p] or [""])))
+        order = np.r_[np.flatnonzero(plain), np.flatnonzero(~plain)]
+        back = np.argsort(order, kind="stable")
+        first = np.cumsum(sizes) - sizes
+        place = np.repeat(first[back] - (np.cumsum(sizes[back]) - sizes[back]), sizes[back]) + np.arange(sizes[back].sum())
+        return ids[place], sizes[back]
+
+    def is_plain(self, text: str) -> bool:
+        return True
+
+    def cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        low = [t if UNUSUAL.search(t) else t.lower() for t in texts]
+        data = np.frombuffer("\n".join(["", *low, ""]).encode(), np.uint8)
+        kind = KIND[data]
+        here, after = kind[:-1], kind[1:]
+        begin = np.flatnonzero((here == BLANK) & (after != BLANK)) + 1
+        # Plain letters before the marks that end a word are a word of their own.
+        turn = np.flatnonzero((here != after) & (here != BLANK) & (after != BLANK))
+        word = np.searchsorted(begin, turn, side="right") - 1
+        turn = turn[(np.bincount(word, minlength=1)[word] == 1) & (kind[turn] == LETTER) & (kind[turn + 1] == MARK)]
+        begin = np.sort(np.concatenate([begin, turn + 1]))
+        used = kind != BLANK
+        bounds = np.r_[np.cumsum(used)[begin] - 1, np.count_nonzero(used)]
+        sizes = np.fromiter((len(t) if t.isascii() else len(t.encode()) for t in low), np.int64, len(low))
+        return data[used], bounds, np.searchsorted(begin, np.r_[0, np.cumsum(sizes + 1)])
 
 
 @cache
@@ -106,11 +95,11 @@ def token_shares(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", to
     """Per row: ``doc_id``, its ids, their number, the task and the place in its share. Write it before reading it twice."""
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        share, reached, end = TaskContext.get().partitionId(), 0, np.array([end_id], "<u4").tobytes()
+        share, reached, end = TaskContext.get().partitionId(), 0, np.array([end_id], "<u4")
         for batch in batches:
             for first in range(0, len(batch), AT_ONCE):
                 rows = batch.iloc[first : first + AT_ONCE]
-                ids = [found + end for found in _encoder(tokenizer).encode([t or "" for t in rows["text"]])]
+                ids = [np.concatenate([found, end]).astype("<u4").tobytes() for found in _encoder(tokenizer).encode([t or "" for t in rows["text"]])]
                 sizes = np.array([len(i) // 4 for i in ids], np.int64)
                 starts = reached + np.cumsum(sizes) - sizes
                 reached += int(sizes.sum())

@@ -13,6 +13,7 @@ from docstrata.llm.quality import op7_byte_cnn
 from docstrata.llm.secrets import op9_structural_secrets
 from docstrata.llm.simhash import op5_popcount_grid
 from docstrata.llm.suffix_dedup import op4_previous_factors
+from docstrata.llm.token_files import op11_token_files
 
-QUERIES = {f.__name__: f for f in (op1_template_windows, op2_concat_and_cut, op3_license_notices, op4_previous_factors, op5_popcount_grid, op6_compact_windows, op7_byte_cnn, op8_rank_profiles, op9_structural_secrets, op10_cap_filters)}
+QUERIES = {f.__name__: f for f in (op1_template_windows, op2_concat_and_cut, op3_license_notices, op4_previous_factors, op5_popcount_grid, op6_compact_windows, op7_byte_cnn, op8_rank_profiles, op9_structural_secrets, op10_cap_filters, op11_token_files)}
 CHECKS: dict[str, str] = {"op1_template_windows": OP1, "op4_previous_factors": OP4, "op10_cap_filters": OP10}

@@ -28,6 +28,7 @@ COLUMNS = {
     "op8": "doc_id held_out lang_pred score",
     "op9": "doc_id n_assign n_access n_hex base_sha256 spans",
     "op10": "vec_id n_links component_id kept",
+    "op11": "doc_id start n_tokens ids_crc32",
 }
 
 
@@ -41,7 +42,7 @@ def test_query_runs_on_the_given_tables(spark, name):
     found = QUERIES[name](spark, SF_DIR)
     assert set(COLUMNS[name.split("_")[0]].split()) <= set(found.columns)
     given = spark.read.parquet(f"{SF_DIR}/{'embeddings' if name.startswith('op10') else 'documents'}.parquet").count()
-    if name.split("_")[0] in ("op3", "op4", "op5", "op7", "op8", "op9", "op10"):
+    if name.split("_")[0] in ("op3", "op4", "op5", "op7", "op8", "op9", "op10", "op11"):
         assert found.count() == given
     else:
         assert found.count() >= (given if name.startswith("op2") else 0)
