@@ -51,6 +51,30 @@ def test_stage_keeps_one_of_each_group_by_all_pairs(spark, make, prose, often, m
     assert len(far) > 20 and len(want) < len(texts) - 40
 
 
+def group(prose, n, seed):
+    """One text of 200 words with one to five words changed, ``n`` times."""
+    rng, base = random.Random(seed), prose(200, 5)
+    return [edited(base, rng.randint(1, 5), 1000 * seed + k) for k in range(n)]
+
+
+def test_pairs_grow_with_the_number_of_near_copies(spark, make, prose, monkeypatch):
+    counts = []
+    for n in (200, 400, 800):
+        asked = []
+        plain = near_copies._verified
+        monkeypatch.setattr(near_copies, "_verified", lambda pairs, *a, asked=asked: asked.append(pairs.count()) or plain(pairs, *a))
+        texts = group(prose, n, 3)
+        kept = sorted(r["doc_id"] for r in corpus_pipeline.one_of_each_group(spark, make(texts), "").collect())
+        monkeypatch.setattr(near_copies, "_verified", plain)
+        counts.append(sum(asked))
+        sets = [shingles_by_hand(t) for t in texts]
+        links = [(a, b) for a, b in combinations(range(n), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+        want = sorted(set(roots_by_hand(n, links)))
+        gone = set(range(n)) - set(want)
+        assert set(want) <= set(kept) and len(gone - set(kept)) >= 0.9 * len(gone)
+    assert counts[1] <= 3 * counts[0] and counts[2] <= 3 * counts[1] and counts[2] <= 10 * 800, counts
+
+
 def test_odd_rows_of_the_stage(spark, make, prose):
     docs = make(["a b", None, "a b", "", prose(70_000, 3)], [3, 5, 3, None, 4])
     assert sorted(r["doc_id"] for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()) == [3, 4, 5]

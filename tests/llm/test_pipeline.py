@@ -13,7 +13,8 @@ import __spark_entry__ as contract  # noqa: E402
 import corpus_pipeline  # noqa: E402
 from docstrata.llm import packing  # noqa: E402
 from docstrata.llm.queries import CHECKS, QUERIES  # noqa: E402
-from test_corpus import ITEM, fingerprint_by_hand, roots_by_hand  # noqa: E402
+from test_corpus import ITEM, roots_by_hand  # noqa: E402
+from test_near_copies import similarity_by_hand  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -57,8 +58,7 @@ def test_pipeline_matches_its_stages_by_hand(spark, make, prose, tmp_path):
     spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
 
     rows = [(i, t) for i, t in zip(ids, texts) if t and any(c.isalpha() for c in t)]
-    prints = [fingerprint_by_hand(t) for _, t in rows]
-    links = [(a, b) for a in range(len(rows)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 3]
+    links = [(a, b) for a in range(len(rows)) for b in range(a) if similarity_by_hand(rows[a][1], rows[b][1]) >= 0.8]
     groups = roots_by_hand(len(rows), links)
     best = {}
     for k, g in enumerate(groups):
