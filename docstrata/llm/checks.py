@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from docstrata.llm.decontaminate import ENOUGH_PART, ENOUGH_TOKENS, SHORTEST, UNIT_WORDS, WINDOW
 from docstrata.llm.embeddings import COSINE
+from docstrata.llm.hard_negatives import EVERY, HIGHEST, LABELS, LOWEST, NEGATIVES, POSITIVES, SCALE, SHIFTED
+from docstrata.llm.prefix_trie import FAMILY
 from docstrata.llm.suffix_dedup import LENGTH
 
 
@@ -101,3 +103,58 @@ SELECT t.doc_id AS doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_re
        sha256(unhex(coalesce(kept, ''))) AS kept_sha256
 FROM texts t LEFT JOIN counted c ON t.doc_id = c.doc_id
 """
+
+#: The checksum of an id's decimal text, one byte and eight shifts at a time.
+_CRC = """xor(list_reduce(
+  list_concat([4294967295::BIGINT], flatten([[ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR x IN string_split(c::VARCHAR, '')])),
+  lambda r, x: CASE WHEN x >= 0 THEN xor(r, x) WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END), 4294967295)"""
+
+OP12 = f"""
+WITH turns AS (
+  SELECT conv_id AS c, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(role) || ':' || role || text)) AS p
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+),
+convs AS (SELECT c, {_CRC} % 9 AS h, c - c % {FAMILY} AS base FROM (SELECT DISTINCT c FROM turns)),
+planned AS (SELECT c, h, base, (SELECT count(*) FROM turns t WHERE t.c = convs.base AND p <= h) AS got FROM convs),
+built AS (
+  SELECT planned.c, p AS d, role, text FROM planned JOIN turns ON turns.c = base AND p <= h
+  UNION ALL SELECT planned.c, p - h + got, role, text FROM planned JOIN turns ON turns.c = planned.c AND p > h
+),
+paths AS (
+  SELECT c, d, text, string_agg(strlen(role) || ':' || role || strlen(text) || ':' || text, '') OVER (PARTITION BY c ORDER BY d) AS k FROM built
+  UNION ALL SELECT c, 0, '', '' FROM convs
+),
+ends AS (SELECT c, max(d) AS d, max_by(k, d) AS k FROM paths GROUP BY c),
+hashes AS (SELECT k, d, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS h FROM ends GROUP BY k, d),
+nodes AS (SELECT k, d, min(c) AS c, count(*) AS n, any_value(strlen(text)) AS b FROM paths GROUP BY k, d),
+parents AS (
+  SELECT DISTINCT a.k AS k, a.d AS d, b.k AS pk FROM paths a JOIN paths b ON a.c = b.c AND b.d = a.d - 1
+),
+linked AS (SELECT n.*, p.pk, q.c AS pc FROM nodes n LEFT JOIN parents p ON n.k = p.k AND n.d = p.d LEFT JOIN nodes q ON q.k = p.pk AND q.d = n.d - 1),
+counted AS (SELECT l.*, (SELECT count(*) FROM linked m WHERE m.pk = l.k AND m.d = l.d + 1) AS children FROM linked l)
+SELECT u.c AS conv_id, u.d::BIGINT AS depth, u.pc AS parent_conv_id, u.n AS n_convs, u.children AS n_children,
+       count(*) FILTER (WHERE v.children = 0) AS n_leaves, sum((v.n - 1) * v.b)::BIGINT AS saved_tokens, coalesce(any_value(h), sha256('')) AS ends_sha256
+FROM counted u JOIN counted v ON v.d >= u.d AND starts_with(v.k, u.k) LEFT JOIN hashes ON hashes.k = u.k AND hashes.d = u.d
+GROUP BY u.c, u.d, u.pc, u.n, u.children, u.k
+"""
+
+OP13 = f"""
+WITH rows AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % {SHIFTED} = 0 THEN (label + 1) % {LABELS} ELSE label END AS label, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+),
+scores AS (
+  SELECT a.id AS anchor, b.id AS id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.id % {EVERY} = 0 AND a.id <> b.id AND len(a.q) = len(b.q)
+),
+positives AS (
+  SELECT anchor, id, score FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= {POSITIVES}
+),
+ranked AS (
+  SELECT p.anchor, p.id AS positive, p.score AS ps, n.id AS negative, n.score AS ns,
+         row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY n.score DESC, n.id) AS place
+  FROM positives p JOIN scores n ON n.anchor = p.anchor AND NOT n.same AND {LOWEST} * p.score <= 100 * n.score AND 100 * n.score <= {HIGHEST} * p.score
+)
+SELECT anchor AS anchor_id, positive AS positive_id, place::INTEGER AS rank, negative AS negative_id, ps AS positive_score, ns AS negative_score
+FROM ranked WHERE place <= {NEGATIVES}
+"""

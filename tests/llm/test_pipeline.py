@@ -30,6 +30,8 @@ COLUMNS = {
     "op9": "doc_id n_assign n_access n_hex base_sha256 spans",
     "op10": "vec_id n_links component_id kept",
     "op11": "doc_id start n_tokens ids_crc32",
+    "op12": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    "op13": "anchor_id positive_id rank negative_id positive_score negative_score",
 }
 
 
