@@ -65,5 +65,16 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(*tables: DataFrame) -> None:
+    """Remove tables that ``settle`` wrote and that no later job reads, so that a job of many rounds does not fill its scratch folder."""
+    for table in tables:
+        files = table.inputFiles()
+        folder = files[0].rsplit("/", 1)[0] if files else ""
+        if "/docstrata/" in folder:
+            jvm = table.sparkSession._jvm
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def is_case_sensitive(spark: SparkSession) -> bool:
     return spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
