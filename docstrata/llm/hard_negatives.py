@@ -16,7 +16,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from docstrata.llm.common import bounded_batches, numbered, settle
+from docstrata.llm.common import bounded_batches, numbered, settle, whole_groups
+from docstrata.llm.scans import scanned
 
 #: Every so many ids one is an anchor; positives of an anchor, and negatives of a positive.
 EVERY, POSITIVES, NEGATIVES = 100, 5, 10
@@ -82,44 +83,25 @@ def _vectors(column: pd.Series, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(column), "<i8").reshape(len(column), dim).astype(np.float64)
 
 
-ANCHOR = "row long, id long, label long, dim int, vec binary, norm double, part int, nth int, pos int, parent int, edge double"
+ANCHOR = "row long, id long, label long, dim int, vec binary, norm double, block int, pos int, parent int, edge double"
 
 
-def anchor_blocks(rows: DataFrame) -> DataFrame:
-    """Anchors in blocks of one length of vectors, ``block`` rising from 0 within each, with their trees."""
-    from pyspark import TaskContext
+def _grown(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for rows in whole_groups(batches, ["dim", "block"]):
+        order, parent, edge = spanning_tree(_vectors(rows["vec"], int(rows["dim"].iat[0])))
+        yield rows.iloc[order].assign(pos=np.arange(len(rows), dtype=np.int32), parent=parent.astype(np.int32), edge=edge)
 
-    def grown(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, nth, held = TaskContext.get().partitionId(), 0, []
-
-        def block(rows: pd.DataFrame) -> pd.DataFrame:
-            order, parent, edge = spanning_tree(_vectors(rows["vec"], int(rows["dim"].iat[0])))
-            return rows.iloc[order].assign(part=part, nth=nth, pos=np.arange(len(rows), dtype=np.int32), parent=parent.astype(np.int32), edge=edge)
-
-        for batch in batches:
-            for _, rows in batch.groupby("dim", sort=False):
-                while len(rows):
-                    if held and held[0]["dim"].iat[0] != rows["dim"].iat[0]:
-                        yield block(pd.concat(held))
-                        nth, held = nth + 1, []
-                    room = ANCHORS - sum(map(len, held))
-                    held.append(rows.iloc[:room])
-                    rows = rows.iloc[room:]
-                    if sum(map(len, held)) == ANCHORS:
-                        yield block(pd.concat(held))
-                        nth, held = nth + 1, []
-        if held:
-            yield block(pd.concat(held))
 
+def anchor_blocks(rows: DataFrame) -> DataFrame:
+    """Anchors in blocks of one length of vectors, ``block`` rising from 0 within each, with their trees."""
     own = rows.where(F.col("id") % EVERY == 0)
     # Neighbours in the order of the signs of their parts lie near each other, which makes short edges.
     start = F.substring("vec", 1, 8 * 16)
-    signs = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda k: F.hex(F.substring(start, 8 * k + 8, 1)) >= "80")
-    dealt = own.repartitionByRange(max(1, math.ceil(own.count() / ANCHORS)), "dim", signs, "id").sortWithinPartitions("dim", signs, "id")
-    built = settle(dealt.mapInPandas(grown, ANCHOR), "anchor-trees")
-    # One row for each block.
-    names = built.select("dim", "part", "nth").distinct().withColumn("block", F.row_number().over(Window.partitionBy("dim").orderBy("part", "nth")) - 1)
-    return settle(built.join(names, ["dim", "part", "nth"]).drop("part", "nth"), "anchors")
+    signs = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(15)), lambda k: F.when(F.hex(F.substring(start, 8 * k + 8, 1)) >= "80", "-").otherwise("+")), "")
+    counted = scanned(own.withColumns({"signs": signs, "one": F.lit(1).cast("long")}), "dim", ["signs", "id"], sums=("one",))
+    placed = counted.select("row", "id", "label", "dim", "vec", "norm", F.floor((F.col("one_run") - 1) / F.lit(ANCHORS)).cast("int").alias("block"))
+    dealt = placed.repartition("dim", "block").sortWithinPartitions("dim", "block", "id", "row")
+    return settle(dealt.mapInPandas(_grown, ANCHOR), "anchors")
 
 
 class Anchors:
