@@ -61,7 +61,7 @@ def json_to_tables(
     the documents have themselves is a ``NameClash``. What does not fit a given schema goes, as text, to the table ``<name>_rescued``;
     with ``strict`` it stops the job instead.
     """
-    rescued = None if schema is None or multiline or strict else RESCUED_COLUMN
+    rescued = None if schema is None or strict else RESCUED_COLUMN
     documents = read_documents(spark, source, schema, multiline, origin_col, rescued_col=rescued, strict=strict)
     described = documents.drop(origin_col, *([rescued] if rescued else []))
     root = target.rstrip("/")

@@ -39,16 +39,18 @@ def read_documents(
     """Documents from JSON files, one per line, or one object or list per file with ``multiline``.
 
     Without ``schema`` the files are scanned once more to infer it, and nothing is lost. With the schema of an earlier
-    delivery that scan is saved, and arrays that happen to be empty keep their type, but lines may hold what it
-    does not know. ``rescued_col`` (one document per line only) names a column for the whole line wherever something of it did not
-    fit: a broken line, a field the schema lacks at any depth, or a value of another type. ``strict`` stops the job at a
-    line that is no document of that schema's types instead. ``origin`` adds the name of the source file, as ``Filename`` or
-    the name given.
+    delivery that scan is saved, and arrays that happen to be empty keep their type, but texts may hold what it
+    does not know. ``rescued_col`` names a column for the whole text of a document (a line, or with ``multiline`` an item of a
+    file) wherever something of it did not fit: broken text, text after the document, a key that stands twice, a field the schema
+    lacks at any depth of objects, lists and maps, or a value of another type. ``strict`` stops the job there instead.
+    ``origin`` adds the name of the source file, as ``Filename`` or the name given.
     """
     origin_col = ORIGIN_COLUMN if origin is True else origin
-    if schema is not None and (rescued_col or strict) and not multiline:
-        lines = spark.read.text(path)
-        scanned = with_origin(lines, origin_col) if origin_col else lines
+    if schema is not None and (rescued_col or strict):
+        texts = spark.read.text(path, wholetext=multiline)
+        scanned = with_origin(texts, origin_col) if origin_col else texts
+        if multiline:
+            scanned = list_items(scanned, "value").drop(ITEM_PLACE)
         return with_rescued(scanned, "value", schema, rescued_col, strict)
     reader = spark.read.option("multiLine", multiline)
     if schema is not None:
@@ -62,45 +64,87 @@ def read_documents(
 def with_rescued(lines: DataFrame, value: str, schema: T.StructType, rescued_col: str | None, strict: bool = False) -> DataFrame:
     """The documents in a column of JSON texts; beside them the text of each that ``schema`` does not hold entirely.
 
-    A text fits if it parses without a bad value and has no key the schema lacks: its structure, as Spark infers it for the single
-    text, is compared with the schema's.
+    A text fits if it parses without a bad value, is one document to its end, names no key twice, and has no key the schema
+    lacks. Each text is parsed once more, to VARIANT, for that. ``strict`` stops the job at a text that does not fit.
     """
     if rescued_col in schema.names:
         raise NameClash(rescued_col, "text that did not fit", "field of the documents")
     corrupt = free_name(schema.names, "__broken")
+    text = top_column(value)
     other = [top_column(name) for name in lines.columns if name != value]
-    if strict:
-        parsed = F.from_json(top_column(value), schema, {"mode": "FAILFAST"})
-        return lines.where(F.trim(top_column(value)) != "").select(F.inline(F.array(parsed)), *other)
     wide = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
-    parsed = lines.where(F.trim(top_column(value)) != "").withColumn(
-        "__document", F.from_json(top_column(value), wide, {"columnNameOfCorruptRecord": corrupt})
-    )
+    parsed = lines.where(F.trim(text) != "").withColumns({
+        "__document": F.from_json(text, wide, {"columnNameOfCorruptRecord": corrupt}),
+        "__variant": single_document(text),
+    })
     document = F.col("__document")
-    broken = document.isNull() | document.getField(corrupt).isNotNull() | unknown_keys(top_column(value), schema)
+    misfit = document.isNull() | document.getField(corrupt).isNotNull() | F.col("__variant").isNull() | has_unknown_keys(F.col("__variant"), schema)
     fields = [document.getField(name).alias(name) for name in schema.names]
-    return parsed.select(*fields, *other, F.when(broken, top_column(value)).alias(rescued_col))
+    if strict:
+        message = F.concat(F.lit("a document does not fit the given schema: "), F.substring(text, 1, 500))
+        # The check stands in the documents themselves, so no projection can lose it.
+        checked = parsed.where(F.when(misfit, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+        return checked.select(*fields, *other)
+    return parsed.select(*fields, *other, F.when(misfit, text).alias(rescued_col))
+
+
+#: What stands behind a text while it is parsed, so that text after its document shows.
+END_MARK = "docstrata: end of the document"
+
+
+def single_document(text: Column) -> Column:
+    """A JSON text as VARIANT; null if it is broken, goes on after its document, or names a key twice."""
+    framed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f', "{END_MARK}"]')))
+    parts = F.try_variant_get(framed, "$", "array<variant>")
+    whole = (F.size(parts) == 2) & (F.try_variant_get(framed, "$[1]", "string") == END_MARK)
+    return F.when(whole, F.get(parts, F.lit(0)))
 
 
-def unknown_keys(text: Column, schema: T.StructType) -> Column:
-    """Whether a JSON text has a key, at any depth of objects and lists of objects, that ``schema`` lacks."""
-    def any_item(items: Column, record: T.StructType) -> Column:
-        return F.exists(items, lambda item: keys(item, record))
+def has_unknown_keys(found: Column, data_type: T.DataType) -> Column:
+    """Whether a VARIANT has a key, at any depth of objects, lists and maps, that ``data_type`` lacks."""
 
-    def keys(found: Column, record: T.StructType) -> Column:
-        known = F.array(*[F.lit(name) for name in record.names]) if record.names else F.array().cast("array<string>")
-        unknown = F.size(F.array_except(F.map_keys(found), known)) > 0
-        for field in record.fields:
-            value = F.try_element_at(found, F.lit(field.name))
-            inner = field.dataType
-            if isinstance(inner, T.StructType):
-                unknown = unknown | keys(F.from_json(value, "map<string,string>"), inner)
-            elif isinstance(inner, T.ArrayType) and isinstance(inner.elementType, T.StructType):
-                items = F.from_json(value, "array<map<string,string>>")
-                unknown = unknown | any_item(items, inner.elementType)
-        return F.coalesce(unknown, F.lit(False))
+    def deep(inner: T.DataType) -> bool:
+        if isinstance(inner, T.ArrayType):
+            return deep(inner.elementType)
+        return deep(inner.valueType) if isinstance(inner, T.MapType) else isinstance(inner, T.StructType)
 
-    return keys(F.from_json(text, "map<string,string>"), schema)
+    if not deep(data_type):
+        return F.lit(False)
+    if isinstance(data_type, T.ArrayType):
+        items = F.try_variant_get(found, "$", "array<variant>")
+        return F.coalesce(F.exists(items, lambda item: has_unknown_keys(item, data_type.elementType)), F.lit(False))
+    members = F.try_variant_get(found, "$", "map<string,variant>")
+    if isinstance(data_type, T.MapType):
+        values = F.map_values(members)
+        return F.coalesce(F.exists(values, lambda value: has_unknown_keys(value, data_type.valueType)), F.lit(False))
+    known = F.array(*[F.lit(name) for name in data_type.names]) if data_type.names else F.array().cast("array<string>")
+    unknown = F.size(F.array_except(F.map_keys(members), known)) > 0
+    for field in data_type.fields:
+        if deep(field.dataType):
+            unknown = unknown | has_unknown_keys(F.try_element_at(members, F.lit(field.name)), field.dataType)
+    return F.coalesce(unknown, F.lit(False))
+
+
+#: Where an item stood in its list, as a column of ``list_items``.
+ITEM_PLACE = "__item_place"
+
+
+def list_items(texts: DataFrame, value: str) -> DataFrame:
+    """A row for each item of the JSON lists in column ``value``, with its text there and its place from 0 in ``ITEM_PLACE``.
+
+    A single object is a list of one. A text that is neither to its end is one row without a place, its text as it is; an item that
+    is null is passed over, as by Spark's own reader.
+    """
+    text, other = top_column(value), [top_column(name) for name in texts.columns if name != value]
+    # Only wholeness is asked of the list here; keys that stand twice are found item by item.
+    framed = F.from_json(F.concat(F.lit("["), text, F.lit(f', "{END_MARK}"]')), "array<string>")
+    whole = F.coalesce((F.size(framed) == 2) & (F.get(framed, F.lit(1)) == END_MARK), F.lit(False))
+    listed = F.when(whole & F.trim(text).startswith("["), F.from_json(text, "array<string>"))
+    is_list = listed.isNotNull().alias("__list")
+    opened = texts.where(F.trim(text) != "").select(*other, is_list, F.posexplode(F.coalesce(listed, F.array(text))).alias(ITEM_PLACE, value))
+    is_object = F.trim(top_column(value)).startswith("{")
+    place = F.when(F.col("__list") | is_object, F.col(ITEM_PLACE))
+    return opened.where(top_column(value).isNotNull()).select(*other, place.alias(ITEM_PLACE), top_column(value))
 
 
 def read_schema(spark: SparkSession, path: str) -> T.StructType:
@@ -118,21 +162,21 @@ def read_document_lists(
     """Items of files that hold one JSON list each, with their place in the list.
 
     A file is parsed whole by one task, as a list in a file has no other unit; a single object counts
-    as a list of one. A file that does not parse stops the job, or, with ``rescued_col``, is one row without a place
-    whose text is in that column.
+    as a list of one. A file that does not parse stops the job. With ``rescued_col``, such a file is one row without a place whose text is in
+    that column, and so is the text of every item that ``schema`` does not hold entirely, beside what it does hold.
     """
     if schema is None:
         schema = spark.read.option("multiLine", True).json(path).schema
     if position_col in schema.names:
         raise NameClash(position_col, "place in the list", "field of the items")
     whole = spark.read.text(path, wholetext=True).where(F.trim("value") != "")
-    parsed = whole.withColumn("items", F.from_json("value", T.ArrayType(schema), {"mode": "PERMISSIVE" if rescued_col else "FAILFAST"}))
-    opened = parsed.select("value", F.col("items").isNull().alias("broken"), F.posexplode_outer("items").alias(position_col, "document"))
-    fields = [F.col("document").getField(name).alias(name) for name in schema.names]
-    if not rescued_col:
-        return opened.where(F.col(position_col).isNotNull()).select(position_col, *fields)
-    lost = F.when(F.col("broken"), F.col("value")).alias(rescued_col)
-    return opened.where(F.col(position_col).isNotNull() | F.col("broken")).select(position_col, *fields, lost)
+    if rescued_col:
+        items = list_items(whole, "value").withColumnRenamed(ITEM_PLACE, position_col)
+        found = with_rescued(items, "value", schema, rescued_col)
+        return found.select(position_col, *map(top_column, schema.names), rescued_col)
+    parsed = whole.withColumn("items", F.from_json("value", T.ArrayType(schema), {"mode": "FAILFAST"}))
+    opened = parsed.select(F.posexplode("items").alias(position_col, "document"))
+    return opened.select(position_col, *[F.col("document").getField(name).alias(name) for name in schema.names])
 
 
 def parse_json_column(df: DataFrame, column: str, schema: T.StructType | str, into: str | None = None) -> DataFrame:
