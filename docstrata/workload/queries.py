@@ -37,10 +37,13 @@ from docstrata.operators.drift import (
 )
 from docstrata.operators.expand import drop_arrays, expand_structs
 from docstrata.operators.extract import batches, child_table, child_tables, main_table, row_counts, tables_as_one
+from docstrata.operators.file_catalogs import file_catalogs
 from docstrata.operators.labels import CHAIN, OWN, flatten_labeled, labeled_tables
 from docstrata.operators.nulls import empty_to_null, mark_nulls
 from docstrata.operators.profile import profile_columns, profile_reports, profile_tables
+from docstrata.plans.incremental import load_new_files, loaded_table
 from docstrata.plans.load import load_folder, two_level_rows
+from docstrata.plans.schema_growth import conformed, replayed, widened_schema
 from docstrata.plans.table_sets import flatten_documents, json_to_tables
 from docstrata.session import scratch_path, settle
 from docstrata.sinks.tables import write_catalog, write_delimited, write_drift_report, write_marked, write_profile, write_tables
@@ -118,22 +121,29 @@ def q_json_lists(spark, sf_dir):
 
 
 @query("""SELECT event_id, user_id, value,
-       CASE event_id % 5 WHEN 0 THEN 'broken' WHEN 1 THEN 'unknown field' WHEN 2 THEN 'other type' WHEN 3 THEN 'unknown inner field' END AS spoilt
+       CASE event_id % 9 WHEN 0 THEN 'broken' WHEN 1 THEN 'unknown field' WHEN 2 THEN 'other type' WHEN 3 THEN 'unknown inner field'
+         WHEN 4 THEN 'unknown in lists' WHEN 5 THEN 'unknown in a map' WHEN 6 THEN 'twice' WHEN 7 THEN 'trailing' END AS spoilt
 FROM events""")
 def q_rescued(spark, sf_dir):
-    """Events as JSON, four in five spoilt, read with the schema of the good ones: every line is a document or a rescued text."""
+    """Events as JSON, eight in nine spoilt, read with the schema of the good ones: every line is a document or a rescued text."""
     good = F.to_json(F.struct("event_id", "user_id", "value", F.struct("event_type").alias("kind")))
-    kind = F.col("event_id") % 5
+    kind = F.col("event_id") % 9
     line = (
         F.when(kind == 0, F.substring(good, F.lit(2), F.length(good)))
         .when(kind == 1, F.regexp_replace(good, r"\}$", ',"more":[1]}'))
         .when(kind == 2, F.regexp_replace(good, '"value":[^,]*', '"value":"x"'))
         .when(kind == 3, F.replace(good, F.lit('"kind":{'), F.lit('"kind":{"extra":1,')))
-        .otherwise(good)
+        .when(kind == 4, F.regexp_replace(good, r"\}$", ',"grid":[[{"x":1},{"deep":2}]]}'))
+        .when(kind == 5, F.regexp_replace(good, r"\}$", ',"named":{"any":{"inside":1}}}'))
+        .when(kind == 6, F.regexp_replace(good, r"\}$", ',"user_id":-1}'))
+        .when(kind == 7, F.concat(good, F.lit(" and on")))
+        .otherwise(F.regexp_replace(good, r"\}$", ',"grid":[[{"x":1}],[]],"named":{"any":{"x":1}}}'))
     )
     path = scratch_path(spark, "spoilt-events")
     table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
-    schema = T.StructType.fromDDL("event_id bigint, user_id bigint, value double, kind struct<event_type: string>")
+    schema = T.StructType.fromDDL(
+        "event_id bigint, user_id bigint, value double, kind struct<event_type: string>, grid array<array<struct<x: bigint>>>, named map<string, struct<x: bigint>>"
+    )
     read = read_documents(spark, path, schema, rescued_col="rescued")
     # What was rescued is the whole line, so nothing of it is lost: the ids are found in either.
     text = F.coalesce("rescued", F.to_json(F.struct("event_id", "user_id")))
@@ -143,7 +153,9 @@ def q_rescued(spark, sf_dir):
 
     spoilt = (
         F.when(~F.startswith("rescued", F.lit("{")), "broken").when(F.contains("rescued", F.lit('"more"')), "unknown field")
-        .when(F.contains("rescued", F.lit('"extra"')), "unknown inner field").when(F.col("rescued").isNotNull(), "other type")
+        .when(F.contains("rescued", F.lit('"extra"')), "unknown inner field").when(F.contains("rescued", F.lit('"deep"')), "unknown in lists")
+        .when(F.contains("rescued", F.lit('"inside"')), "unknown in a map").when(F.contains("rescued", F.lit('"user_id":-1')), "twice")
+        .when(F.endswith("rescued", F.lit("on")), "trailing").when(F.col("rescued").isNotNull(), "other type")
     )
     rows = read.select(found("event_id"), found("user_id"), spoilt.alias("spoilt"))
     return rows.join(table(spark, sf_dir, "events").select("event_id", "value"), "event_id")
@@ -689,3 +701,83 @@ def q_stream_ingest(spark, sf_dir):
         ingest_documents(spark, source, docs.schema, target, checkpoint, "pages").awaitTermination()
     names = ("pages_main", "page_links", "page_heads")
     return tables_as_one({name: ingested_table(spark, target, name) for name in names})
+
+
+@query("""WITH d AS (SELECT DISTINCT event_id % 8 AS k FROM events),
+e AS (
+  SELECT k, UNNEST(list_concat([['event_id', 'root', 'bigint']],
+    CASE k % 3 WHEN 0 THEN [['value', 'root', 'double']] WHEN 1 THEN [['value', 'root', 'string']]
+      ELSE [['value', 'root', 'struct'], ['value.amount', 'value', 'double'], ['value.unit', 'value', 'string'],
+            ['tags', 'root', 'array<struct>'], ['tags.n', 'tags', 'bigint'], ['tags.name', 'tags', 'string']] END,
+    CASE WHEN k % 2 = 0 THEN [['props', 'root', 'struct'], ['props.k', 'props', 'bigint']] ELSE [] END)) AS f FROM d
+)
+SELECT f[1] AS "Field", f[2] AS "Hierarchy", f[3] AS "Data Type", 'delivery_' || k AS filename FROM e""")
+def q_file_catalogs(spark, sf_dir):
+    """Events delivered in eight shapes as raw JSON files; the catalogues of all deliveries from one pass."""
+    return file_catalogs(spark, _deliveries(spark, sf_dir), F.concat(F.lit("delivery_"), F.regexp_extract("path", "delivery=([0-9]+)", 1)))
+
+
+def _deliveries(spark, sf_dir):
+    k = F.col("event_id") % 8
+    plain = F.to_json(F.struct("event_id", "value"))
+    text = F.to_json(F.struct("event_id", F.col("value").cast("string").alias("value")))
+    value = F.struct(F.col("value").alias("amount"), F.col("event_type").alias("unit"))
+    tags = F.array(F.struct(F.col("event_type").alias("name"), F.col("user_id").alias("n")))
+    nested = F.to_json(F.struct("event_id", value.alias("value"), tags.alias("tags")))
+    line = F.when(k % 3 == 0, plain).when(k % 3 == 1, text).otherwise(nested)
+    with_props = F.concat(F.left(line, F.length(line) - 1), F.lit(',"props":'), F.col("props"), F.lit("}"))
+    path = scratch_path(spark, "deliveries")
+    lines = table(spark, sf_dir, "events").select(k.alias("delivery"), F.when(k % 2 == 0, with_props).otherwise(line).alias("value"))
+    lines.write.partitionBy("delivery").text(path)
+    return path
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 3 <> 2 THEN value END AS value_number, CASE WHEN event_id % 3 = 2 THEN 'v' || event_id END AS value_text,
+       CASE WHEN event_id % 3 = 1 THEN user_id END AS user_id, event_type, CASE WHEN event_id % 3 = 1 THEN event_id END AS extra FROM events""")
+def q_schema_merge(spark, sf_dir):
+    """Events whose later deliveries add fields and change a type: the schema grows by what was rescued, which is then read again."""
+    k, value = F.col("event_id") % 3, F.col("value")
+    first = F.to_json(F.struct("event_id", value, F.struct("event_type").alias("kind")))
+    more = F.to_json(F.struct("event_id", value, "user_id", F.struct("event_type", F.array("event_id").alias("extra")).alias("kind")))
+    other = F.to_json(F.struct("event_id", F.concat(F.lit("v"), "event_id").alias("value"), F.struct("event_type").alias("kind")))
+    path = scratch_path(spark, "growing-events")
+    table(spark, sf_dir, "events").select(F.when(k == 0, first).when(k == 1, more).otherwise(other).alias("value")).write.text(path)
+    known = T.StructType.fromDDL("event_id bigint, value double, kind struct<event_type: string>")
+    read = settle(read_documents(spark, path, known, rescued_col="rescued"), "first-reading")
+    kept = read.where("rescued IS NOT NULL").select("rescued")
+    wide = widened_schema(known, kept, "rescued")
+    # Texts that the widened schema did not hold would be rescued again, and missing here.
+    again = replayed(kept, "rescued", wide, "rescued").where("rescued IS NULL").drop("rescued")
+    docs = conformed(read.where("rescued IS NULL").drop("rescued"), wide).unionByName(again)
+    is_text = F.startswith("value", F.lit("v"))
+    return docs.select(
+        "event_id", F.when(~is_text, F.col("value").cast("double")).alias("value_number"), F.when(is_text, F.col("value")).alias("value_text"),
+        "user_id", F.col("kind.event_type").alias("event_type"), F.get("kind.extra", F.lit(0)).alias("extra"),
+    )
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, nullif(o_orderstatus, '') AS o_orderstatus, CAST(o_custkey AS VARCHAR) AS o_custkey,
+       CASE WHEN o_orderkey % 3 < 2 THEN 'first' ELSE 'second' END AS load_id FROM orders""")
+def q_incremental_load(spark, sf_dir):
+    """Orders in two deliveries: each load takes in the files that no load before it had, whatever the order of their columns."""
+    folder, target = scratch_path(spark, "deliveries"), scratch_path(spark, "loaded")
+    orders = table(spark, sf_dir, "orders")
+    write_delimited(orders.where("o_orderkey % 3 < 2").select("o_orderkey", "o_orderstatus", "o_custkey"), f"{folder}/orders.csv")
+    load_new_files(spark, folder, target, "first")
+    write_delimited(orders.where("o_orderkey % 3 = 2").select("o_custkey", "o_orderkey", "o_orderstatus"), f"{folder}/late/orders.csv")
+    for load_id in ("second", "third"):  # the third finds nothing new
+        load_new_files(spark, folder, target, load_id)
+    return loaded_table(spark, target, "orders", with_load=True)
+
+
+@query("""SELECT 'customers' AS kind, CAST(c_custkey AS VARCHAR) AS id, nullif(c_name, '') AS name FROM customer
+UNION ALL SELECT 'suppliers', CAST(s_suppkey AS VARCHAR), nullif(s_name, '') FROM supplier""")
+def q_repeatable_load(spark, sf_dir):
+    """The same load run twice: the second run replaces the rows of the first."""
+    folder, target = scratch_path(spark, "delivery"), scratch_path(spark, "loaded")
+    write_delimited(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")), f"{folder}/customers.csv")
+    write_delimited(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")), f"{folder}/suppliers.csv")
+    for _ in range(2):
+        load_new_files(spark, folder, target, "only")
+    customers, suppliers = (loaded_table(spark, target, name).withColumn("kind", F.lit(name)) for name in ("customers", "suppliers"))
+    return customers.unionByName(suppliers)
