@@ -70,13 +70,8 @@ def _class_of(strict: bool) -> str:
     )
 
 
-def profile_tables(tables: Mapping[str, DataFrame], strict: bool = True) -> DataFrame:
-    """One row per column of every named table: name, type, total, five counts and class.
-
-    A decimal count includes the integers. The class is the first that fits of null, integer, decimal
-    and string, blanks being allowed in each. With ``strict=False`` text columns holding numeric and
-    other values are ``mixed``.
-    """
+def _code_counts(tables: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """The columns of all tables (``table_no, ordinal, DataFrame_name, column_name, data_type``), and per column and code a ``count``."""
     if not tables:
         raise LayoutError("no tables to profile")
     columns, codes = [], []
@@ -90,24 +85,36 @@ def profile_tables(tables: Mapping[str, DataFrame], strict: bool = True) -> Data
         ]
         row_codes = ", ".join(_code(f.name, f.dataType) for f in fields)
         codes.append(df.selectExpr(f"{number} AS table_no", f"posexplode(array({row_codes})) AS (ordinal, code)"))
+    # The list of columns brings back those of tables without rows.
+    listed = codes[0].sparkSession.sql(
+        f"SELECT * FROM VALUES {', '.join(columns)} AS t(table_no, ordinal, DataFrame_name, column_name, data_type)"
+    )
+    return listed, reduce(DataFrame.unionAll, codes).groupBy("table_no", "ordinal", "code").count()
 
-    per_code = reduce(DataFrame.unionAll, codes).groupBy("table_no", "ordinal", "code").count()
 
+def _counts(count: str = "count") -> list[Column]:
     def rows_with(*wanted: int) -> Column:
-        return F.sum(F.when(F.col("code").isin(*wanted), F.col("count")).otherwise(F.lit(0)))
+        return F.sum(F.when(F.col("code").isin(*wanted), F.col(count)).otherwise(F.lit(0)))
 
-    counted = per_code.groupBy("table_no", "ordinal").agg(
-        F.sum("count").alias("total_count"),
+    return [
+        F.coalesce(F.sum(count), F.lit(0)).alias("total_count"),
         rows_with(_NULL).alias("null_count"),
         rows_with(_EMPTY).alias("empty_count"),
         rows_with(_INTEGER).alias("integer_count"),
         rows_with(_INTEGER, _DECIMAL).alias("decimal_count"),
         rows_with(_INTEGER, _DECIMAL, _OTHER).alias("string_count"),
-    )
-    # The list of columns brings back those of tables without rows.
-    listed = codes[0].sparkSession.sql(
-        f"SELECT * FROM VALUES {', '.join(columns)} AS t(table_no, ordinal, DataFrame_name, column_name, data_type)"
-    )
+    ]
+
+
+def profile_tables(tables: Mapping[str, DataFrame], strict: bool = True) -> DataFrame:
+    """One row per column of every named table: name, type, total, five counts and class.
+
+    A decimal count includes the integers. The class is the first that fits of null, integer, decimal
+    and string, blanks being allowed in each. With ``strict=False`` text columns holding numeric and
+    other values are ``mixed``.
+    """
+    listed, per_code = _code_counts(tables)
+    counted = per_code.groupBy("table_no", "ordinal").agg(*_counts())
     totals = ("total_count", *_COUNTS)
     return (
         listed.join(counted, ["table_no", "ordinal"], "left")
@@ -116,6 +123,36 @@ def profile_tables(tables: Mapping[str, DataFrame], strict: bool = True) -> Data
     )
 
 
+def profile_state(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """What later profiles need of one delivery: ``DataFrame_name, ordinal, column_name, data_type, code, count``.
+
+    Counts add up, so states of several deliveries together say what a profile of all their rows would. A column without rows is
+    kept by a row without code.
+    """
+    listed, per_code = _code_counts(tables)
+    return listed.join(per_code, ["table_no", "ordinal"], "left").select(
+        "DataFrame_name", "ordinal", "column_name", "data_type", F.col("code").cast("int").alias("code"), F.coalesce("count", F.lit(0)).alias("count")
+    )
+
+
+def merged_profile(states: DataFrame, strict: bool = True) -> DataFrame:
+    """The profile of all deliveries in ``states``, columns by name, laid out as ``profile_tables`` does.
+
+    A column keeps its first place. Where its type differs between deliveries, all its types are named, sorted, with ``|`` between them. Rows of a
+    delivery that lacks a column count as null there, as they would in a union by name.
+    """
+    rows_of = states.groupBy("DataFrame_name", "delivery", "column_name").agg(F.sum("count").alias("rows"))
+    rows_of = rows_of.groupBy("DataFrame_name", "delivery").agg(F.max("rows").alias("rows"))
+    all_rows = rows_of.groupBy("DataFrame_name").agg(F.sum("rows").alias("all_rows"))
+    merged = states.groupBy("DataFrame_name", "column_name").agg(
+        F.min("ordinal").alias("ordinal"), F.array_join(F.array_sort(F.collect_set("data_type")), "|").alias("data_type"), *_counts()
+    )
+    unseen = F.col("all_rows") - F.col("total_count")
+    filled = merged.join(all_rows, "DataFrame_name").withColumn("null_count", F.col("null_count") + unseen).withColumn("total_count", F.col("all_rows"))
+    totals = ("total_count", *_COUNTS)
+    return filled.select("DataFrame_name", "ordinal", "column_name", "data_type", *totals).selectExpr("*", _class_of(strict))
+
+
 def profile_columns(df: DataFrame, name: str, strict: bool = True) -> DataFrame:
     """The profile of one table."""
     return profile_tables({name: df}, strict)

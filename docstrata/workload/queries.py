@@ -23,6 +23,7 @@ from docstrata.functions.values import (
     listing_time,
     with_default,
 )
+from docstrata.operators.absence import absence_bitmaps, opened_absences
 from docstrata.operators.catalog import ancestors, array_fields, schema_catalog, schema_tree_rows
 from docstrata.operators.drift import (
     ENTRIES,
@@ -43,6 +44,7 @@ from docstrata.operators.nulls import empty_to_null, mark_nulls
 from docstrata.operators.profile import profile_columns, profile_reports, profile_tables
 from docstrata.plans.incremental import load_new_files, loaded_table
 from docstrata.plans.load import load_folder, two_level_rows
+from docstrata.plans.profiles import add_delivery, grown_profile
 from docstrata.plans.schema_growth import conformed, replayed, widened_schema
 from docstrata.plans.table_sets import flatten_documents, json_to_tables
 from docstrata.session import scratch_path, settle
@@ -347,6 +349,13 @@ def q_sibling_product(spark, sf_dir):
     return flatten_labeled(line_docs(spark, sf_dir))
 
 
+@query(CHECKS["q_sibling_product"])
+def q_sibling_ranges(spark, sf_dir):
+    """The same rows, those of documents with more than two spread over tasks by ranges of two."""
+    stored = settle(line_docs(spark, sf_dir), "line-docs")
+    return flatten_labeled(stored, rows_per_range=2)
+
+
 # --- catalogue -------------------------------------------------------------------------------------
 
 # Fields of the page documents as a JSON scan infers them: names in order, numbers as text or bigint.
@@ -472,6 +481,15 @@ def q_profile(spark, sf_dir):
     return profile_columns(table(spark, sf_dir, "lineitem"), "lineitem")
 
 
+@query(CHECKS["q_profile"])
+def q_profile_merged(spark, sf_dir):
+    """The profile of order lines that came in four deliveries, each counted once; the last is delivered twice."""
+    lines, target = table(spark, sf_dir, "lineitem"), scratch_path(spark, "profile-state")
+    for part in (0, 1, 2, 3, 3):
+        add_delivery({"lineitem": lines.where(f"l_orderkey % 4 = {part}")}, target, f"d{part}")
+    return grown_profile(spark, target)
+
+
 @query(" UNION ALL ".join(
     "SELECT * FROM (" + sql.profile_sql("patchy", sql.PATCHY_COLUMNS, name, strict, f"WITH {sql.PATCHY} ") + ")"
     for name, strict in (("strict", True), ("loose", False))
@@ -576,6 +594,13 @@ def q_type_conflicts_missing(spark, sf_dir):
     return conflicts.join(members, "file_group").select(FIELD, DATA_TYPE, CATALOG_FILE)
 
 
+@query(CHECKS["q_type_conflicts_missing"])
+def q_absence_bitmap(spark, sf_dir):
+    """The same conflicts from one bit per file and type, opened again to name every file."""
+    bitmaps, places = absence_bitmaps(event_entries(spark, sf_dir), files_per_shelf=16)
+    return opened_absences(bitmaps, places)
+
+
 @query(f"""WITH {sql.CATALOG}
 SELECT field AS "Field", dtype AS "Data Type", '0' AS part, string_agg(file, ', ' ORDER BY file) AS filename FROM grid
 WHERE field IN (SELECT field FROM grid GROUP BY field HAVING count(DISTINCT dtype) > 1)

@@ -6,6 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from docstrata import melt_types, pivot_types, type_conflicts, type_conflicts_with_absence, types_by_file
+from docstrata.operators.absence import absence_bitmaps, opened_absences
 from docstrata.operators.drift import as_delimited_report, catalog_entries
 from docstrata.sinks.tables import write_drift_report
 from docstrata.sources.delimited import read_catalogs, read_delimited
@@ -143,3 +144,33 @@ def test_report_as_delimited_file(spark, two_files, tmp_path):
     back = {(r.Field, r["Data Type"], r.filename) for r in read_delimited(spark, str(tmp_path / "report.csv")).collect()}
     assert back == {("x", "string", "f1"), ("x", "bigint", "f2"), ("y", "int", "f1"), ("y", ABSENT, "f2")}
     assert as_delimited_report(type_conflicts(two_files)).schema["filename"].dataType.simpleString() == "string"
+
+
+def names(df):
+    return sorted((r.Field, r["Data Type"], r.filename) for r in df.collect())
+
+
+@pytest.mark.parametrize("per_shelf", [1, 3, 16_384])
+def test_bitmaps_name_the_files_of_the_report(spark, per_shelf):
+    rows = [(f"x{i % 7}", ("int", "string")[i * i % 5 % 2], f"f{i * 13 % 29}") for i in range(120)]
+    rows += [("all", "int", f"f{i}") for i in range(29)] + [("x1", None, "g"), (None, "int", "g"), ("x1", "int", None), rows[0]]
+    report = [(f, t, n) for (f, t), found in listed(type_conflicts_with_absence(catalog(spark, *rows[:-2]))).items() for n in found]
+    bitmaps, places = absence_bitmaps(catalog(spark, *rows), files_per_shelf=per_shelf)
+    assert names(opened_absences(bitmaps, places)) == sorted((f, t, n) for f, t, n in report if n is not None)
+    counted = bitmaps.groupBy("Field", "Data Type").agg({"files": "sum"}).collect()
+    assert {(r[0], r[1]): r[2] for r in counted} == {(f, t): len(n) for (f, t), n in listed(type_conflicts_with_absence(catalog(spark, *rows[:-2]))).items()}
+
+
+def test_a_shelf_of_more_files_than_a_bitmap_holds(spark):
+    files = spark.range(40_000).selectExpr("'x' AS Field", "'int' AS `Data Type`", "concat('f', id) AS filename")
+    bitmaps, places = absence_bitmaps(files.union(catalog(spark, ("y", "int", "f7"))), files_per_shelf=100_000)
+    assert places.select("shelf", "bucket").distinct().count() == 2
+    assert [(r.Field, r["Data Type"], r.files) for r in bitmaps.orderBy("files").collect()] == [("y", "int", 1), ("y", ABSENT, 39_999)]
+    opened = opened_absences(bitmaps, places)
+    assert opened.count() == opened.distinct().count() == 40_000
+    assert opened.where(opened["Data Type"] == ABSENT).where("filename = 'f7'").isEmpty()
+
+
+def test_no_catalogue_rows_make_no_bitmaps(spark):
+    bitmaps, places = absence_bitmaps(catalog(spark))
+    assert bitmaps.isEmpty() and opened_absences(bitmaps, places).isEmpty()

@@ -1,10 +1,11 @@
 """Index-labelled flattening on hand-written documents."""
 
 import pytest
+from compare import spark_rows
 from pyspark.sql import functions as F
 
 from docstrata import LayoutError, flatten_labeled, labeled_tables
-from docstrata.operators.labels import OWN
+from docstrata.operators.labels import CHAIN, OWN
 from docstrata.sources.documents import read_document_lists
 
 NESTED = '{"id":1,"a":[{"x":1,"b":[{"y":1},{"y":2}]},{"x":2,"b":[]}]}'
@@ -116,3 +117,37 @@ def test_opened_arrays_are_not_carried_along(spark, json_docs, tmp_path):
 
 def _fields(attributes):
     return [attributes.apply(i) for i in range(attributes.size())]
+
+
+def test_ranges_give_the_rows_of_the_product(spark):
+    schema = "k int, a array<struct<x:int,in:array<int>>>, s struct<b:array<string>>, c array<int>"
+    rows = [
+        (1, [(i, [i, i + 1][: i % 3]) for i in range(7)], (["p", None, "q"],), list(range(5))),
+        (2, [], (["p"] * 11,), None),
+        (3, None, None, []),
+        (4, [(1, None)], (["only"],), [None]),
+        (4, [(1, None)], (["only"],), [None]),
+        (5, [None, (2, [3])], (["p", "q"],), list(range(40))),
+    ]
+    docs = spark.createDataFrame(rows, schema)
+    for style in (OWN, CHAIN):
+        expected = spark_rows(flatten_labeled(docs, style))
+        for size in (1, 3, 10, 1000):
+            assert spark_rows(flatten_labeled(docs, style, rows_per_range=size)) == expected
+    assert flatten_labeled(docs.limit(0), rows_per_range=3).count() == 0
+    listed = docs.withColumn("place", F.col("k") - 1)
+    assert spark_rows(flatten_labeled(listed, CHAIN, "place", 4)) == spark_rows(flatten_labeled(listed, CHAIN, "place"))
+
+
+def test_one_document_makes_its_rows_in_many_tasks(spark):
+    docs = spark.range(1).select(F.sequence(F.lit(1), F.lit(1000)).alias("a"), F.sequence(F.lit(1), F.lit(1000)).alias("b"))
+    rows = flatten_labeled(docs, rows_per_range=10_000)
+    per_task = rows.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in per_task) == 1_000_000
+    assert len(per_task) >= 6 and max(r["count"] for r in per_task) <= 400_000
+    assert rows.distinct().count() == 1_000_000
+
+
+def test_ranges_of_no_rows_are_refused(spark):
+    with pytest.raises(LayoutError):
+        flatten_labeled(spark.range(1), rows_per_range=0)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import types as T
 
 from docstrata import LayoutError, profile_columns, profile_reports, profile_tables
+from docstrata.plans.profiles import add_delivery, grown_profile
 from docstrata.sinks.tables import write_profile
 
 
@@ -88,3 +89,25 @@ def test_report_layout(spark, tmp_path):
     }
     write_profile({"t": frame}, str(tmp_path / "profile"))
     assert '"DataFrame_name" : "t"' in spark.read.text(str(tmp_path / "profile"), wholetext=True).collect()[0].value
+
+
+def test_states_of_deliveries_add_up(spark, tmp_path):
+    target = str(tmp_path / "state")
+    assert grown_profile(spark, target).collect() == []
+    first = spark.createDataFrame([("1", 2), ("", None), ("a", 3)], "a string, b int")
+    second = spark.createDataFrame([("1.5", 1.5), (None, 2.0)], "a string, c double")
+    add_delivery({"t": first, "u": first.limit(0)}, target, "one")
+    for _ in range(2):  # a retry replaces
+        add_delivery({"t": second}, target, "two")
+    whole = profile_tables({"t": first.unionByName(second, allowMissingColumns=True), "u": first.limit(0)}).drop("ordinal")
+    assert sorted(grown_profile(spark, target).drop("ordinal").collect()) == sorted(whole.collect())
+
+
+def test_types_that_changed_are_all_named(spark, tmp_path):
+    target = str(tmp_path / "state")
+    add_delivery({"t": spark.range(2)}, target, "one")
+    add_delivery({"t": spark.range(2).selectExpr("string(id) AS id")}, target, "two")
+    row = grown_profile(spark, target).first()
+    assert (row.data_type, row.total_count, row.integer_count, row.column_class) == ("bigint|string", 4, 4, "integer")
+    with pytest.raises(LayoutError):
+        add_delivery({"t": spark.range(2)}, target, "../x")
