@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docstrata.llm.decontaminate import ENOUGH_PART, ENOUGH_TOKENS, SHORTEST, UNIT_WORDS, WINDOW
+from docstrata.llm.decontaminate import ENOUGH_PART, ENOUGH_TOKENS, SHORTEST, UNIT_WORDS, UNITS, UNSPACED, WINDOW
 from docstrata.llm.embeddings import COSINE
 from docstrata.llm.hard_negatives import EVERY, HIGHEST, LABELS, LOWEST, NEGATIVES, POSITIVES, SCALE, SHIFTED
 from docstrata.llm.prefix_trie import FAMILY
@@ -10,30 +10,38 @@ from docstrata.llm.suffix_dedup import LENGTH
 
 
 def _tokens(text: str) -> str:
-    plain = f"regexp_replace(coalesce({text}, ''), '[\\x01\\x02]', ' ', 'g')"
-    named = f"regexp_replace({plain}, '([\\p{{L}}\\p{{N}},;:]\\s+)(\\p{{Lu}}\\p{{Ll}})', '\\1' || chr(1) || '\\2', 'g')"
+    plain = f"regexp_replace(coalesce({text}, ''), '[\\x01-\\x03]', ' ', 'g')"
+    apart = f"regexp_replace({plain}, '([{UNSPACED}])', ' \\1 ', 'g')"
+    capitals = f"regexp_replace({apart}, '(\\p{{Lu}}\\p{{Ll}})', chr(3) || '\\1', 'g')"
+    named = f"replace(regexp_replace({capitals}, '([\\p{{L}}\\p{{N}},;:]\\s+)\\x03', '\\1' || chr(1), 'g'), chr(3), '')"
     marked = f"regexp_replace({named}, '([0-9]\\s?)({UNIT_WORDS})([^\\p{{L}}\\p{{M}}\\p{{N}}]|$)', '\\1' || chr(2) || '\\2\\3', 'g')"
     return f"regexp_extract_all({marked}, '[\\x01\\x02]?[0-9]+(?:[.,][0-9]+)*|[\\x01\\x02]?\\p{{L}}[\\p{{L}}\\p{{M}}]*')"
 
 
 _SLOT = "(starts_with(t, chr(1)) OR starts_with(t, chr(2)) OR t[1] BETWEEN '0' AND '9')"
 _CODE = "CASE WHEN starts_with(t, chr(1)) THEN '#1' WHEN starts_with(t, chr(2)) THEN '#2' WHEN t[1] BETWEEN '0' AND '9' THEN '#3' ELSE lower(t) END"
+#: A window agrees with another by its template, or by its words if most of it are slots or it is a whole short text.
+_KEY = f"""CASE WHEN size < {SHORTEST} OR 2 * len([t FOR t IN w IF {_SLOT}]) > size THEN 'words ' || array_to_string([lower(t) FOR t IN w], ' ')
+       ELSE array_to_string([{_CODE} FOR t IN w], ' ') END"""
 
 OP1 = f"""
-WITH items AS (
-  SELECT *, least({WINDOW}, n) AS size FROM (SELECT DISTINCT item_id, toks, CAST(len(toks) AS INTEGER) AS n
-    FROM (SELECT item_id, {_tokens("text")} AS toks FROM benchmark)) WHERE n >= {SHORTEST}
+WITH plain_items AS (SELECT DISTINCT item_id, {_tokens("text")} AS toks FROM benchmark),
+forms AS (
+  SELECT item_id, toks FROM plain_items
+  UNION SELECT item_id, [chr(1) || toks[1]] || toks[2:] FROM plain_items WHERE regexp_matches(toks[1], '^\\p{{Lu}}\\p{{Ll}}')
+  UNION SELECT item_id, [chr(2) || toks[1]] || toks[2:] FROM plain_items WHERE toks[1] IN ({", ".join(f"'{u}'" for u in UNITS)})
 ),
+items AS (SELECT *, CAST(len(toks) AS INTEGER) AS n, CAST(least({WINDOW}, len(toks)) AS INTEGER) AS size FROM forms WHERE len(toks) > 0),
 docs AS (SELECT DISTINCT doc_id, text, {_tokens("text")} AS toks FROM documents),
-item_windows AS (
-  SELECT item_id, n, size, iat, array_to_string([{_CODE} FOR t IN w], ' ') AS key, [t FOR t IN w IF {_SLOT}] AS islots
+known AS (
+  SELECT DISTINCT item_id, n, size, iat, {_KEY} AS key, [t FOR t IN w IF {_SLOT}] AS islots
   FROM (SELECT item_id, n, size, iat, toks[iat + 1 : iat + size] AS w FROM (SELECT *, UNNEST(range(n - size + 1)) AS iat FROM items))
 ),
-known AS (SELECT * FROM item_windows WHERE 2 * len(islots) <= size),
 doc_windows AS (
-  SELECT doc_id, text, size, dat, array_to_string([{_CODE} FOR t IN w], ' ') AS key, [t FOR t IN w IF {_SLOT}] AS slots
+  SELECT doc_id, text, size, dat, {_KEY} AS key, [t FOR t IN w IF {_SLOT}] AS slots
   FROM (SELECT doc_id, text, size, dat, toks[dat + 1 : dat + size] AS w
-        FROM (SELECT d.*, s.size, UNNEST(range(greatest(0, len(d.toks) - s.size + 1))) AS dat FROM docs d CROSS JOIN (SELECT DISTINCT size FROM items) s))
+        FROM (SELECT d.*, s.size, UNNEST(range(greatest(0, len(d.toks) - s.size + 1))) AS dat FROM docs d
+              JOIN (SELECT DISTINCT size FROM items) s ON s.size >= {SHORTEST} OR s.size = len(d.toks)))
 ),
 hits AS (
   SELECT doc_id, text, item_id, n, d.size AS size, dat - iat AS shift, iat, slots, islots
@@ -41,26 +49,32 @@ hits AS (
 ),
 pairs AS (SELECT DISTINCT doc_id, text, item_id, n, size, shift, UNNEST(islots) AS i, UNNEST(slots) AS s FROM hits),
 torn AS (
-  SELECT doc_id, text, item_id, size, shift, bool_or(i <> s) AS changed,
-         count(*) <> count(DISTINCT i) OR count(*) <> count(DISTINCT s) AS torn
-  FROM pairs GROUP BY doc_id, text, item_id, size, shift
+  SELECT doc_id, text, item_id, n, size, shift, count(*) <> count(DISTINCT i) OR count(*) <> count(DISTINCT s) AS torn
+  FROM pairs GROUP BY doc_id, text, item_id, n, size, shift
 ),
 good AS (
-  SELECT h.*, coalesce(t.changed, FALSE) AS changed
-  FROM hits h LEFT JOIN torn t ON h.doc_id IS NOT DISTINCT FROM t.doc_id AND h.text = t.text AND h.item_id = t.item_id
-    AND h.size = t.size AND h.shift = t.shift
-  WHERE NOT coalesce(t.torn, FALSE)
+  SELECT h.* FROM hits h LEFT JOIN torn t ON h.doc_id IS NOT DISTINCT FROM t.doc_id AND h.text = t.text AND h.item_id = t.item_id
+    AND h.n = t.n AND h.size = t.size AND h.shift = t.shift
+  WHERE h.slots = h.islots OR NOT coalesce(t.torn, FALSE)
+),
+shifts AS (
+  SELECT doc_id, text, item_id, n, size, shift, count(DISTINCT iat) > count(DISTINCT CASE WHEN slots = islots THEN iat END) AS changed
+  FROM good GROUP BY doc_id, text, item_id, n, size, shift
 ),
 counted AS (
-  SELECT doc_id, text, item_id, n, size, bool_and(changed) AS reparameterised, CAST(count(DISTINCT iat) AS INTEGER) AS n_windows
+  SELECT doc_id, text, item_id, n, size, bool_and(changed) AS reparameterised FROM shifts GROUP BY doc_id, text, item_id, n, size
+),
+placed AS (
+  SELECT doc_id, text, item_id, n, size, CAST(count(DISTINCT iat) AS INTEGER) AS n_windows
   FROM good GROUP BY doc_id, text, item_id, n, size
 ),
 covered AS (
-  SELECT doc_id, text, item_id, CAST(count(DISTINCT p) AS INTEGER) AS matched_tokens
-  FROM (SELECT doc_id, text, item_id, UNNEST(range(iat, iat + size)) AS p FROM good) GROUP BY doc_id, text, item_id
+  SELECT doc_id, text, item_id, n, size, CAST(count(DISTINCT p) AS INTEGER) AS matched_tokens
+  FROM (SELECT doc_id, text, item_id, n, size, UNNEST(range(iat, iat + size)) AS p FROM good) GROUP BY doc_id, text, item_id, n, size
 )
 SELECT c.doc_id AS doc_id, c.item_id AS item_id, n_windows, matched_tokens, c.n AS item_tokens, reparameterised
-FROM counted c JOIN covered v ON c.doc_id IS NOT DISTINCT FROM v.doc_id AND c.text = v.text AND c.item_id = v.item_id
+FROM counted c JOIN placed q ON c.doc_id IS NOT DISTINCT FROM q.doc_id AND c.text = q.text AND c.item_id = q.item_id AND c.n = q.n AND c.size = q.size
+JOIN covered v ON c.doc_id IS NOT DISTINCT FROM v.doc_id AND c.text = v.text AND c.item_id = v.item_id AND c.n = v.n AND c.size = v.size
 WHERE matched_tokens >= least({ENOUGH_TOKENS}, ceil(c.n * {ENOUGH_PART}))
 """
 

@@ -1,10 +1,11 @@
 """Benchmark decontamination by template windows, in DataFrame functions throughout.
 
 Words of a text become template tokens: numbers, units after a number, and capitalised names within a sentence turn into
-typed placeholders, other words are lower-cased. Windows of tokens are hashed, and the windows of documents joined
-with those of benchmark items. Windows at one shift between document and item belong together; the slots under their
-placeholders must map one to one, item value to document value, or the shift counts for nothing. So a question with
-other names and numbers is found, and a page that merely has the same pattern of numbers is not.
+typed placeholders, other words are lower-cased; scripts without spaces give a token per letter. Windows of tokens are hashed, and the
+windows of documents joined with those of benchmark items. A window mostly of slots is hashed with their values, so that it meets
+its exact copies and not every page with the same pattern of numbers. Windows at one shift between document and item belong
+together. Where slots changed, they must map one to one, item value to document value, or the changed windows of the
+shift count for nothing; unchanged ones always count. So a question with other names and numbers is found, and every exact copy is.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from docstrata.llm.common import documents, free_name, settle
 
 #: Tokens in a window; shorter items are one window of their own length.
 WINDOW = 8
-#: Shorter items would be found everywhere and are not looked for.
+#: Shorter items stand everywhere. They are found only where they are all of a document, word for word.
 SHORTEST = 4
 #: A document holds an item if so many of its tokens match, or this part of them if that is less.
 ENOUGH_TOKENS, ENOUGH_PART = 13, 0.8
@@ -32,14 +33,19 @@ UNITS = (
 UNIT_WORDS = "|".join(sorted(UNITS, key=lambda u: (-len(u), u)))
 NAME_MARK, UNIT_MARK = "\x01", "\x02"
 NAME, UNIT, NUMBER = 1, 2, 3
+# Letters of scripts that put no spaces between words (Thai, Lao, Burmese, Khmer, kana, Han).
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
 TOKEN = r"[\x01\x02]?[0-9]+([.,][0-9]+)*|[\x01\x02]?\p{L}[\p{L}\p{M}]*"
 
 
 def tokens(text: Column) -> Column:
     """Words and numbers in turn; names and units carry a mark in front. A null text has none."""
-    plain = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x01\x02]", " ")
-    named = F.regexp_replace(plain, r"([\p{L}\p{N},;:]\s+)(\p{Lu}\p{Ll})", f"$1{NAME_MARK}$2")
-    marked = F.regexp_replace(named, rf"([0-9]\s?)({UNIT_WORDS})([^\p{{L}}\p{{M}}\p{{N}}]|$)", f"$1{UNIT_MARK}$2$3")
+    plain = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x01-\x03]", " ")
+    apart = F.regexp_replace(plain, f"([{UNSPACED}])", " $1 ")
+    # Capitals are found first, so that no name's own letters are used up as the left neighbour of the next.
+    capitals = F.regexp_replace(apart, r"(\p{Lu}\p{Ll})", "\x03$1")
+    named = F.regexp_replace(capitals, r"([\p{L}\p{N},;:]\s+)\x03", f"$1{NAME_MARK}")
+    marked = F.regexp_replace(F.regexp_replace(named, r"\x03", ""), rf"([0-9]\s?)({UNIT_WORDS})([^\p{{L}}\p{{M}}\p{{N}}]|$)", f"$1{UNIT_MARK}$2$3")
     return F.regexp_extract_all(marked, F.lit(f"({TOKEN})"), F.lit(1))
 
 
@@ -61,56 +67,77 @@ def _codes(found: Column) -> Column:
     return F.transform(found, code)
 
 
-def windows(rows: DataFrame, size: int) -> DataFrame:
-    """Rows of (*, ``tokens``) as one row per window: place, hash and slots (null if the row has none at all)."""
+def windows(rows: DataFrame, sizes: list[int]) -> DataFrame:
+    """Rows of (*, ``tokens``) as one row per window of each size: size, place, hash and slots (null if the row has none at all)."""
     coded = rows.withColumn("codes", _codes(F.col("tokens"))).withColumn("slotted", F.exists("codes", lambda c: c.between(NAME, NUMBER)))
-    places = F.when(F.size("codes") >= size, F.sequence(F.lit(0), F.size("codes") - size)).otherwise(F.array().cast("array<int>"))
+    coded = coded.withColumn("words", F.when(F.col("slotted"), F.transform("tokens", lambda t: F.xxhash64(F.lower(t)))))
+    n = F.size("codes")
 
-    def window(i: Column) -> Column:
-        key = F.xxhash64(*(F.get("codes", i + k) for k in range(size)))
-        slots = F.filter(F.slice("tokens", i + 1, size), is_slot)
-        return F.struct(i.alias("at"), key.alias("key"), F.when(F.col("slotted"), slots).alias("slots"))
+    def of_size(size: int) -> Column:
+        fits = n == size if size < SHORTEST else n >= size
+
+        def window(i: Column) -> Column:
+            template = F.xxhash64(F.lit(size), *(F.get("codes", i + k) for k in range(size)))
+            words = F.xxhash64(F.lit(-size), *(F.get(F.coalesce("words", "codes"), i + k) for k in range(size)))
+            slots = F.when(F.col("slotted"), F.filter(F.slice("tokens", i + 1, size), is_slot))
+            if size < SHORTEST:
+                key = words
+            else:
+                key = F.when(F.col("slotted") & (2 * F.size(slots) > size), words).otherwise(template)
+            return F.struct(F.lit(size).alias("size"), i.alias("at"), key.alias("key"), slots.alias("slots"))
+
+        places = F.when(fits, F.sequence(F.lit(0), n - size)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, window)
 
     kept = [c for c in rows.columns if c != "tokens"]
-    return coded.select(*kept, F.inline(F.transform(places, window)))
+    found = [of_size(size) for size in sizes]
+    return coded.select(*kept, F.inline(F.concat(*found) if len(found) > 1 else found[0]))
 
 
 def _items(benchmark: DataFrame, text: str, item_id: str) -> DataFrame:
+    """Items with the forms their first word can take in running text: what stands before it decides whether it is a name or a unit."""
     found = benchmark.select(F.col(f"`{item_id}`").cast("long").alias("item_id"), tokens(F.col(f"`{text}`")).alias("tokens"))
-    return found.withColumn("item_tokens", F.size("tokens")).where(F.col("item_tokens") >= SHORTEST).distinct()
+    first = F.get("tokens", F.lit(0))
+    rest = F.expr("slice(tokens, 2, size(tokens))")
+    forms = F.array(
+        F.col("tokens"),
+        F.when(first.rlike(r"^\p{Lu}\p{Ll}"), F.concat(F.array(F.concat(F.lit(NAME_MARK), first)), rest)),
+        F.when(first.isin(*UNITS), F.concat(F.array(F.concat(F.lit(UNIT_MARK), first)), rest)),
+    )
+    sized = found.where(F.size("tokens") > 0).select("item_id", F.size("tokens").alias("item_tokens"), F.explode(forms).alias("tokens"))
+    return sized.where("tokens IS NOT NULL").distinct()
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id") -> DataFrame:
     """Documents that hold benchmark items: ``doc_id``, ``text_hash``, ``item_id`` and how much of the item was found.
 
-    One row per document and item; rows that repeat id and text count once. Null and empty texts and items shorter
-    than ``SHORTEST`` tokens, or made of slots for more than half of every window, give none. Null ids are ids of their own.
+    One row per document and item; rows that repeat id and text count once. Null and empty texts, and texts without a word or number, give
+    none. Items shorter than ``SHORTEST`` tokens are found where they are a whole document. Null ids are ids of their own.
     """
     body = F.col(f"`{text}`")
     texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.xxhash64(body).alias("text_hash"), tokens(body).alias("tokens"))
     items = settle(_items(benchmark, item_text, item_id), "benchmark-tokens")
-    short = [r["n"] for r in items.where(F.col("item_tokens") < WINDOW).select(F.col("item_tokens").alias("n")).distinct().collect()]
-    found = None
-    for size in sorted({WINDOW, *short}):  # eight sizes at most
-        fitting = items.where(F.col("item_tokens") == size) if size < WINDOW else items.where(F.col("item_tokens") >= WINDOW)
-        known = windows(fitting, size).withColumn("slots", F.coalesce("slots", F.array().cast("array<string>")))
-        known = settle(known.where(2 * F.size("slots") <= size), "benchmark-windows")
-        keys = known.select("key").distinct()
-        small = known.count() <= MOST_BROADCAST
-        here = windows(texts, size).join(F.broadcast(keys) if small else keys, "key", "left_semi")
-        hits = settle(here, "window-hits")
-        other = known.select("key", "item_id", "item_tokens", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"))
-        met = hits.join(F.broadcast(other) if small else other, "key").withColumn("size", F.lit(size))
-        found = met if found is None else found.unionByName(met)
+    size = F.least(F.col("item_tokens"), F.lit(WINDOW))
+    sizes = sorted(r["size"] for r in items.select(size.alias("size")).distinct().collect()) or [WINDOW]  # eight at most
+    known = windows(items.withColumn("own_size", size), sizes).where("size = own_size").drop("own_size")
+    known = settle(known.withColumn("slots", F.coalesce("slots", F.array().cast("array<string>"))).distinct(), "benchmark-windows")
+    keys = known.select("key").distinct()
+    small = known.count() <= MOST_BROADCAST
+    hits = settle(windows(texts, sizes).join(F.broadcast(keys) if small else keys, "key", "left_semi"), "window-hits")
+    other = known.select("key", "size", "item_id", "item_tokens", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"))
+    met = hits.join(F.broadcast(other) if small else other, ["key", "size"])
+    met = met.withColumn("slots", F.coalesce("slots", F.array().cast("array<string>")))
     shift = ["doc_id", "text_hash", "item_id", "item_tokens", "size", F.expr("at - item_at").alias("shift")]
     slots = F.explode_outer(F.arrays_zip("item_slots", "slots"))
-    pairs = found.select(*shift, "item_at", slots.alias("pair"))
+    same_at = F.when(F.col("item_slots") == F.col("slots"), F.col("item_at")).alias("same_at")
+    pairs = met.select(*shift, "item_at", same_at, slots.alias("pair"))
     shifts = pairs.groupBy("doc_id", "text_hash", "item_id", "item_tokens", "size", "shift").agg(
-        F.collect_set("item_at").alias("places"), F.collect_set("pair").alias("pairs")
+        F.collect_set("item_at").alias("all_places"), F.collect_set("same_at").alias("same_places"), F.collect_set("pair").alias("pairs")
     )
     n = F.size("pairs")
     one_to_one = (F.size(F.array_distinct("pairs.item_slots")) == n) & (F.size(F.array_distinct("pairs.slots")) == n)
-    good = shifts.where(one_to_one).withColumn("changed", F.exists("pairs", lambda p: p["item_slots"] != p["slots"]))
+    good = shifts.withColumn("places", F.when(one_to_one, F.col("all_places")).otherwise(F.col("same_places"))).where("size(places) > 0")
+    good = good.withColumn("changed", F.size("places") > F.size("same_places"))
     by_item = good.groupBy("doc_id", "text_hash", "item_id", "item_tokens", "size").agg(
         F.array_distinct(F.flatten(F.collect_set("places"))).alias("places"), F.min("changed").alias("reparameterised")
     )

@@ -4,10 +4,11 @@ import hashlib
 import random
 from itertools import combinations
 
+import duckdb
 import numpy as np
 import pytest
 
-from docstrata.llm import decontaminate, embeddings, passages, simhash, suffix_dedup
+from docstrata.llm import checks, decontaminate, embeddings, passages, simhash, suffix_dedup
 from docstrata.llm.components import components
 
 
@@ -89,10 +90,11 @@ def test_leaks_with_other_names_and_numbers(spark, make, prose):
     benchmark = spark.createDataFrame([(1, ITEM), (2, "1 2 3 4 5 6 7 8 9"), (3, None), (4, "too short"), (5, "five plain words stand here"), (1, ITEM)], "item_id long, text string")
     docs = make(texts, [0, 1, 2, 3, 4, 5, 6, 6, None])
     found = {(r["doc_id"], r["item_id"]): r for r in decontaminate.leaks(docs, benchmark).collect()}
-    assert set(found) == {(0, 1), (1, 1), (6, 1), (None, 1)}
+    # Document 5 holds item 2 word for word; a pattern of other numbers does not count.
+    assert set(found) == {(0, 1), (1, 1), (5, 2), (6, 1), (None, 1)}
     assert not found[0, 1]["reparameterised"] and found[1, 1]["reparameterised"]
     kept = decontaminate.without_leaks(docs, benchmark)
-    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 4, 5]
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 4]
     assert decontaminate.leaks(docs, benchmark.limit(0)).count() == 0 == decontaminate.leaks(docs.limit(0), benchmark).count()
 
 
@@ -104,6 +106,38 @@ def test_slots_must_map_one_to_one(spark, make):
     assert [(r["doc_id"], r["reparameterised"]) for r in found] == [(0, True)]
 
 
+def test_every_exact_copy_is_found(spark, make, prose):
+    items = [
+        "What is the capital of France?", "Compute 12 + 34 * 56 - 78 please", "\u65e5\u672c\u306e\u9996\u90fd\u306f\u3069\u3053\u3067\u3059\u304b",
+        "A farmer has 5 hens and buys some more until the yard is full, then sells all that he can and is left with 5 of them in the end",
+        "Al Bo Cy Di Ed Fu Gi Ho Is Jo", "km per hour and miles per hour", "Who knows", "3 4 5 6", "\u0e01\u0e34\u0e19\u0e02\u0e49\u0e32\u0e27",
+    ]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [
+        f"{prose(20, 1)}. Question: {items[0]} {prose(5, 2)}", f"Now {items[1]} {prose(9, 3)}", f"{items[2]}{items[2]}", items[3].replace("5 of", "6 of"),
+        f"said {items[4]} {prose(5, 4)}", f"5 {items[5]}", "who KNOWS", f"Who knows {prose(6, 5)}", "1, 3 4 5 6 7", "9 8 7 6", f"x {items[8]}",
+        "Now Compute 13 + 34 * 56 - 78 please",
+    ]
+    found = sorted((r["doc_id"], r["item_id"], r["reparameterised"]) for r in decontaminate.leaks(make(texts), benchmark).collect())
+    assert found == [(0, 0, False), (1, 1, False), (2, 2, False), (3, 3, False), (4, 4, False), (5, 5, False), (6, 6, False), (8, 7, False), (10, 8, False)]
+
+
+def test_leaks_agree_with_their_sql(spark, make, prose):
+    items = [ITEM, "What is 5 km in miles?", "too short", "Compute 1 + 2 - 3 * 4", None, "", "km of road and of rail"]
+    benchmark = spark.createDataFrame([*enumerate(items), (0, ITEM)], "item_id long, text string")
+    swapped = ITEM.replace("Alice Brown", "Maria Silva").replace("12", "77")
+    texts = [ITEM, f"Ask: {items[1]}", "What is 7 mi in miles?", "Too short", "too short a text", f"so {items[3]}", swapped, f"{ITEM} {swapped}", None, "", "5 km of road and of rail", ITEM]
+    docs = make(texts)
+    con = duckdb.connect()
+    for name, df in (("documents", docs), ("benchmark", benchmark)):
+        con.register(f"{name}_frame", df.toArrow())
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM {name}_frame")
+    columns = "doc_id, item_id, n_windows, matched_tokens, item_tokens, reparameterised"
+    expected = con.execute(f"SELECT {columns} FROM ({checks.OP1})").fetchall()
+    assert sorted(map(tuple, decontaminate.leaks(docs, benchmark).select(*columns.split(", ")).collect())) == sorted(expected)
+    assert {(r[0], r[1]) for r in expected} >= {(0, 0), (1, 1), (3, 2), (5, 3), (6, 0), (10, 6), (11, 0)}
+
+
 def test_leaks_without_broadcast(spark, make, prose, monkeypatch):
     monkeypatch.setattr(decontaminate, "MOST_BROADCAST", 0)
     benchmark = spark.createDataFrame([(1, ITEM), (5, "five plain words stand here")], "item_id long, text string")
