@@ -91,16 +91,46 @@ def test_fuzzy_search_misses_nothing_the_matcher_finds_alone():
     import regex
 
     rng = random.Random(3)
-    for notice, label in licenses.NOTICES:
+    for notice, label, firm in licenses.NOTICES:
         edits = len(notice) // licenses.CHARS_PER_EDIT
         spoilt = list(notice)
+        at = notice.find(firm) if firm else -2
+        places = [i for i in range(len(spoilt)) if not at - 1 <= i <= at + len(firm)]
         for _ in range(edits):
-            spoilt[rng.randrange(len(spoilt))] = rng.choice("qxz")
+            spoilt[rng.choice(places)] = rng.choice("qxz")
         line = f"aaa bbb {''.join(spoilt)} ccc"
         assert regex.search(f"(?:{regex.escape(notice)}){{e<={edits}}}", line)
         assert any(m.label == label for m in licenses.fuzzy_matches(line))
 
 
+@pytest.mark.parametrize("text, labels", [
+    ("licensed under CC BY-SA 4.0", "cc-by,cc-by-sa"),
+    ("licensed under CC BY-ND 4.0", "cc-by,cc-by-nd"),
+    ("Licensed under CC BY-NC 3.0", "cc-by,cc-by-nc"),
+    ("licensed under CC BY-NC-SA 4.0", "cc-by,cc-by-nc-sa"),
+    ("licensed under CC BY-NC-ND 4.0", "cc-by,cc-by-nc-nd"),
+    ("licensed under CC BY 4.0", "cc-by"),
+    ("Licensed under the Creative Commons Attribution-ShareAlike 4.0 licence", "cc-by-sa"),
+    ("Licensed under the Creative Commons Attribution-NonCommercial-NoDerivatives", "cc-by-nc-nd"),
+    ("Licensed under the Creative Commons Attribution 4.0 licence", "cc-by"),
+    ("Licensed under the Apache License, Version 1.1", "apache-1.1"),
+    ("Licensed under the Apache License, Version 2.0", "apache"),
+    ("Distributed under the BSD 3-Clause License", "bsd"),
+    ("Distributed under the BSD 2-Clause License", "bsd"),
+    ("licensed under the GNU GPL", "gpl"),
+    ("under the terms of the GNU Lesser General Public License", "gpl,lgpl"),
+    ("a licence for all of us", ""),
+])
+def test_words_that_tell_licences_apart(text, labels):
+    assert licenses.scan_text(f"Some words. {text}, and more.")["labels"] == labels
+
+
+def test_a_text_of_many_notices_is_scanned_once_through():
+    text = "licensed under CC BY-SA 4.0 and licensed under the MIT license. " * 5_000
+    found = licenses.scan_text(text)
+    assert found["labels"] == "cc-by,cc-by-sa,mit" and len(found["spans"]) == 10_000
+
+
 def test_licences_of_odd_rows(make):
     found, name = licenses.scan_licenses(make([None, "", "all rights reserved " * 30_000, "cc-by", "cc-by"]))
     rows = {r["doc_id"]: r[name] for r in found.collect()}
