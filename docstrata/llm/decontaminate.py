@@ -40,12 +40,13 @@ TOKEN = r"[\x01\x02]?[0-9]+([.,][0-9]+)*|[\x01\x02]?\p{L}[\p{L}\p{M}]*"
 
 def tokens(text: Column) -> Column:
     """Words and numbers in turn; names and units carry a mark in front. A null text has none."""
-    plain = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x01-\x03]", " ")
-    apart = F.regexp_replace(plain, f"([{UNSPACED}])", " $1 ")
+    raw = F.coalesce(text, F.lit(""))
+    plain = F.regexp_replace(raw, r"[\x01-\x03]", " ")
+    apart = F.when(F.octet_length(raw) == F.length(raw), plain).otherwise(F.regexp_replace(plain, f"([{UNSPACED}])", " $1 "))
     # Capitals are found first, so that no name's own letters are used up as the left neighbour of the next.
     capitals = F.regexp_replace(apart, r"(\p{Lu}\p{Ll})", "\x03$1")
     named = F.regexp_replace(capitals, r"([\p{L}\p{N},;:]\s+)\x03", f"$1{NAME_MARK}")
-    marked = F.regexp_replace(F.regexp_replace(named, r"\x03", ""), rf"([0-9]\s?)({UNIT_WORDS})([^\p{{L}}\p{{M}}\p{{N}}]|$)", f"$1{UNIT_MARK}$2$3")
+    marked = F.regexp_replace(F.replace(named, F.lit("\x03"), F.lit("")), rf"([0-9]\s?)({UNIT_WORDS})([^\p{{L}}\p{{M}}\p{{N}}]|$)", f"$1{UNIT_MARK}$2$3")
     return F.regexp_extract_all(marked, F.lit(f"({TOKEN})"), F.lit(1))
 
 
@@ -70,24 +71,23 @@ def _codes(found: Column) -> Column:
 def windows(rows: DataFrame, sizes: list[int]) -> DataFrame:
     """Rows of (*, ``tokens``) as one row per window of each size: size, place, hash and slots (null if the row has none at all)."""
     coded = rows.withColumn("codes", _codes(F.col("tokens"))).withColumn("slotted", F.exists("codes", lambda c: c.between(NAME, NUMBER)))
-    coded = coded.withColumn("words", F.when(F.col("slotted"), F.transform("tokens", lambda t: F.xxhash64(F.lower(t)))))
     n = F.size("codes")
 
     def of_size(size: int) -> Column:
         fits = n == size if size < SHORTEST else n >= size
 
-        def window(i: Column) -> Column:
-            template = F.xxhash64(F.lit(size), *(F.get("codes", i + k) for k in range(size)))
-            words = F.xxhash64(F.lit(-size), *(F.get(F.coalesce("words", "codes"), i + k) for k in range(size)))
-            slots = F.when(F.col("slotted"), F.filter(F.slice("tokens", i + 1, size), is_slot))
-            if size < SHORTEST:
-                key = words
-            else:
-                key = F.when(F.col("slotted") & (2 * F.size(slots) > size), words).otherwise(template)
-            return F.struct(F.lit(size).alias("size"), i.alias("at"), key.alias("key"), slots.alias("slots"))
+        def placed(i: Column) -> Column:
+            return F.struct(i.alias("at"), F.when(F.col("slotted"), F.filter(F.slice("tokens", i + 1, size), is_slot)).alias("slots"))
+
+        # In a step of its own, since the key asks for the slots again and functions of arrays share nothing between two uses.
+        def window(w: Column) -> Column:
+            template = F.xxhash64(F.lit(size), *(F.get("codes", w["at"] + k) for k in range(size)))
+            words = F.xxhash64(F.lit(-size), *(F.lower(F.get("tokens", w["at"] + k)) for k in range(size)))
+            key = words if size < SHORTEST else F.when(2 * F.size(w["slots"]) > size, words).otherwise(template)
+            return F.struct(F.lit(size).alias("size"), w["at"].alias("at"), key.alias("key"), w["slots"].alias("slots"))
 
         places = F.when(fits, F.sequence(F.lit(0), n - size)).otherwise(F.array().cast("array<int>"))
-        return F.transform(places, window)
+        return F.transform(F.transform(places, placed), window)
 
     kept = [c for c in rows.columns if c != "tokens"]
     found = [of_size(size) for size in sizes]
