@@ -65,8 +65,8 @@ def load_new_files(spark: SparkSession, folder: str, target: str, load_id: str,
     changed = [r["path"] for r in met.where(differs).select("path").orderBy("path").toLocalIterator()]
     mine = ledger.where(F.col(LOAD) == load_id)
     if mine.isEmpty():
-        headers = file_headers(spark, folder).where(base_name(F.col("dataset")) != CATALOG_FILE_NAME)
-        new = headers.join(ledger.select("path"), "path", "left_anti").join(listed, "path")
+        headers = file_headers(spark, folder, known=ledger).where(base_name(F.col("dataset")) != CATALOG_FILE_NAME)
+        new = headers.join(listed, "path")
         rows = new.select("path", routed_table(base_name(F.col("dataset"))).alias("table_name"), "header", "length", "modified", F.lit(load_id).alias(LOAD))
     else:
         rows = mine

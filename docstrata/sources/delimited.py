@@ -13,6 +13,7 @@ from docstrata.errors import LayoutError, NameClash
 from docstrata.functions.names import base_name
 from docstrata.functions.schema_walk import top_column
 from docstrata.sources.files import dataset_below, decoded_path, qualified
+from docstrata.sources.first_lines import first_lines
 
 
 def read_delimited(
@@ -38,22 +39,14 @@ def read_delimited(
     return reader.csv(path)
 
 
-def file_headers(spark: SparkSession, folder: str, suffix: str = ".csv") -> DataFrame:
+def file_headers(spark: SparkSession, folder: str, suffix: str = ".csv", known: DataFrame | None = None) -> DataFrame:
     """``path, dataset, header``: each file of the tables below a folder with its first line.
 
-    A first line is looked for in the first block of a file only. Files without any line have no header and
-    are not listed. A header that itself holds a line break is not supported.
+    Only the first bytes of a file are read, and nothing of files whose ``path`` is in ``known``. Files without any line have no
+    header and are not listed. A header that itself holds a line break is not supported.
     """
-    root = qualified(spark, folder)
-    scanned = spark.read.option("recursiveFileLookup", True).text(root)
-    source = scanned.metadataColumn("_metadata")
-    lines = scanned.select(
-        F.col("value"), source.getField("file_path").alias("uri"), source.getField("file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-    ).where("block = 0")
-    first = lines.groupBy("uri").agg(F.min_by("value", "line").alias("header"))
-    path = decoded_path(F.col("uri"))
-    return first.select(path.alias("path"), dataset_below(root, path, suffix).alias("dataset"), "header").where("dataset IS NOT NULL")
+    dataset = dataset_below(qualified(spark, folder), F.col("path"), suffix)
+    return first_lines(spark, folder, dataset.isNotNull(), known).select("path", dataset.alias("dataset"), "header")
 
 
 def header_names(line: str, separator: str = ",") -> tuple[str, ...]:
