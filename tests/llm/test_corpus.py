@@ -228,6 +228,38 @@ def test_passages_are_found_and_clean_texts_left(make, prose):
     assert passages.near_passages(make(["a"]).limit(0)).count() == 0
 
 
+def same_runs(texts, n):
+    """Pairs of texts that hold the same ``n`` words in a row, by hand."""
+    runs = [{tuple(w[i : i + n]) for i in range(len(w) - n + 1)} for w in (t.split() for t in texts)]
+    return {(a, b) for a, b in combinations(range(len(texts)), 2) if runs[a] & runs[b]}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_passages_made_of_common_lines_are_found(make, prose, seed):
+    rng = random.Random(seed)
+    lines = [prose(12, 1000 + k) for k in range(40)]
+    texts = [" ".join(rng.choice(lines) for _ in range(15)) for _ in range(200)]
+    passage = " ".join(rng.choice(lines) for _ in range(5))
+    for k in (150, 199):
+        texts[k] = f"{texts[k]} {passage} {prose(40, k)}"
+    found = {(r["earlier_id"], r["doc_id"]) for r in passages.near_passages(make(texts)).collect()}
+    want = same_runs(texts, 50)
+    assert (150, 199) in want and want <= found
+
+
+def test_a_family_whose_first_passages_differ_from_the_others(make, prose):
+    rng, base = random.Random(5), prose(60, 2000).split()
+    changed = lambda n, k: " ".join(f"w{k}x{i}" if i in at else w for at in [set(rng.sample(range(60), n))] for i, w in enumerate(base))
+    # Each of the first holds a third of the passage, and none is like another; the later ones hold all of it, or nearly.
+    texts = [f"{prose(50, 10 + k)} {' '.join(base[k % 3 * 20 : k % 3 * 20 + 20])} {prose(50, 500 + k)}" for k in range(30)]
+    texts += [f"{prose(30, 900 + k)} {changed(k % 2, k)} {prose(30, 950 + k)}" for k in range(30)]
+    texts += [f"{prose(30, 700 + k)} {' '.join(base)}" for k in range(60)]
+    rows = passages.near_passages(make(texts)).collect()
+    assert not [r for r in rows if r["earlier_id"] < 30]
+    roots = roots_by_hand(len(texts), [(r["earlier_id"], r["doc_id"]) for r in rows])
+    assert set(roots[30:]) == {30} and len(rows) < 20 * len(texts)
+
+
 def links_by_hand(vectors, least=0.95):
     ok = [v is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v) and any(v) for v in vectors]
     links = []
