@@ -51,6 +51,23 @@ def test_stage_keeps_one_of_each_group_by_all_pairs(spark, make, prose, often, m
     assert len(far) > 20 and len(want) < len(texts) - 40
 
 
+def test_the_grid_of_fingerprints_links_near_copies_by_itself(spark, make, prose, monkeypatch):
+    asked, plain = [], near_copies._verified
+    none = lambda mixed, *_: mixed.select(mixed["node"].alias("u"), mixed["node"].alias("v")).limit(0)
+    monkeypatch.setattr(near_copies, "_star_pairs", none)
+    monkeypatch.setattr(near_copies, "_small_pairs", none)
+    monkeypatch.setattr(near_copies, "_verified", lambda pairs, *a: asked.append(pairs.count()) or plain(pairs, *a))
+    texts = [prose(300, 40 + k) for k in range(20)]
+    texts += [edited(t, 1, k) for k, t in enumerate(texts)] + [t.upper() for t in texts] + ["one two", "One  two", "one three"]
+    near = lambda a, b: ((simhash.fingerprint(texts[a], 5) ^ simhash.fingerprint(texts[b], 5)) % (1 << 64)).bit_count() <= 3
+    pairs = [(a, b) for a, b in combinations(range(len(texts)), 2) if similarity_by_hand(texts[a], texts[b]) >= 0.8 and near(a, b)]
+    want = sorted(set(roots_by_hand(len(texts), pairs)))
+    assert sum(k >= 20 for _, k in pairs) > 10 and 20 < len(want) < len(texts) - 25
+    kept = corpus_pipeline.one_of_each_group(spark, make(texts), "").collect()
+    assert sorted(r["doc_id"] for r in kept) == want
+    assert 0 < asked[0] <= len(texts) and not any(asked[1:])
+
+
 def group(prose, n, seed):
     """One text of 200 words with one to five words changed, ``n`` times."""
     rng, base = random.Random(seed), prose(200, 5)
