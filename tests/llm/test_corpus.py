@@ -260,6 +260,30 @@ def test_a_family_whose_first_passages_differ_from_the_others(make, prose):
     assert set(roots[30:]) == {30} and len(rows) < 20 * len(texts)
 
 
+@pytest.mark.parametrize(("size", "changed"), [(51, False), (56, True)])
+def test_every_later_document_of_a_passage_has_its_row(make, prose, size, changed):
+    # So short a passage lies in large classes only. Each has a row, whichever document stands for a class.
+    base = prose(size, 3000).split()
+    texts = [prose(120, 6000 + k) for k in range(20)]
+    texts += [f"{prose(40, 4000 + k)} {' '.join(f'w{k}x' if changed and i == 35 else w for i, w in enumerate(base))} {prose(40, 5000 + k)}" for k in range(60)]
+    rows = passages.near_passages(make(texts)).collect()
+    assert {r["doc_id"] for r in rows} == set(range(21, 80))
+    assert all(20 <= r["earlier_id"] < r["doc_id"] and r["similarity"] >= 0.8 for r in rows)
+
+
+def test_passages_of_many_pairs_at_once(prose):
+    one, two, other = prose(60, 1), prose(80, 2), prose(90, 3)
+    again = " ".join([prose(6, 4)] * 12)
+    edited = " ".join("changed" if i == 30 else w for i, w in enumerate(two.split()))
+    pairs = [(f"{one} {other} {two}", f"{one} {prose(200, 5)} {edited}"), (other, one), (f"{again} {other}", again.upper()), ("", one), (" ".join(one.split()[:49]), one)]
+    found = list(zip(*(x.tolist() for x in passages.passages([(a.encode(), b.encode()) for a, b in pairs]))))
+    assert [(int(f[0]), f[5]) for f in sorted(found, key=lambda f: (f[0], f[3]))] == [(0, 60), (0, 80), (2, 72)]
+    for i, a_from, a_to, b_from, b_to, n, alike in found:
+        a, b = pairs[int(i)][0][int(a_from) : int(a_to)].lower(), pairs[int(i)][1][int(b_from) : int(b_to)].lower()
+        first, second = ({tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (a.split(), b.split()))
+        assert len(b.split()) == n and alike == pytest.approx(len(first & second) / len(first | second))
+
+
 def links_by_hand(vectors, least=0.95):
     ok = [v is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v) and any(v) for v in vectors]
     links = []
