@@ -138,10 +138,12 @@ def list_items(texts: DataFrame, value: str) -> DataFrame:
     text, other = top_column(value), [top_column(name) for name in texts.columns if name != value]
     # Only wholeness is asked of the list here; keys that stand twice are found item by item.
     framed = F.from_json(F.concat(F.lit("["), text, F.lit(f', "{END_MARK}"]')), "array<string>")
-    whole = F.coalesce((F.size(framed) == 2) & (F.get(framed, F.lit(1)) == END_MARK), F.lit(False))
+    whole = F.coalesce((F.size("__framed") == 2) & (F.get("__framed", F.lit(1)) == END_MARK), F.lit(False))
     listed = F.when(whole & F.trim(text).startswith("["), F.from_json(text, "array<string>"))
-    is_list = listed.isNotNull().alias("__list")
-    opened = texts.where(F.trim(text) != "").select(*other, is_list, F.posexplode(F.coalesce(listed, F.array(text))).alias(ITEM_PLACE, value))
+    parsed = texts.where(F.trim(text) != "").select(*other, text, framed.alias("__framed")).select(*other, text, listed.alias("__listed"))
+    # Each text is parsed once, below the generator: what stands above it is computed again for every item, and an inner one's filter parses anew.
+    ready = parsed.select(*other, F.col("__listed").isNotNull().alias("__list"), F.coalesce("__listed", F.array(text)).alias("__items"))
+    opened = ready.select(*other, "__list", F.posexplode_outer("__items").alias(ITEM_PLACE, value))
     is_object = F.trim(top_column(value)).startswith("{")
     place = F.when(F.col("__list") | is_object, F.col(ITEM_PLACE))
     return opened.where(top_column(value).isNotNull()).select(*other, place.alias(ITEM_PLACE), top_column(value))

@@ -72,3 +72,15 @@ def test_table_sets_keep_unknown_fields(spark, tmp_path, multiline):
     assert spark.read.parquet(str(tmp_path / "out" / "docs_main.parquet")).select(F.sum("_id")).first()[0] == 3
     with pytest.raises(Exception, match="does not fit"):
         json_to_tables(spark, path, str(tmp_path / "out2"), "docs", schema=small, multiline=multiline, strict=True)
+
+
+def test_a_list_is_parsed_once_whatever_its_items(spark, tmp_path):
+    small = T.StructType.fromDDL("_id bigint")
+    (tmp_path / "l").mkdir()
+    for name, first in (("1", 0), ("2", 2000)):
+        (tmp_path / "l" / name).write_text("[" + ",\n".join(f'{{"_id":{i}}}' for i in range(first, first + 2000)) + "]")
+    items = read_document_lists(spark, str(tmp_path / "l"), small, rescued_col="rest")
+    above, _, below = items._jdf.queryExecution().optimizedPlan().toString().partition("Generate ")
+    # What parses a list, or carries its text, stands below the generator; above it, it would be done again for every item.
+    assert "ArrayType(StringType" not in above and below.count("from_json(ArrayType(StringType") == 2
+    assert sorted((r["list_position"], r["_id"], r["rest"]) for r in items.collect()) == sorted((i % 2000, i, None) for i in range(4000))
