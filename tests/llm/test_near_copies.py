@@ -105,3 +105,19 @@ def test_shingles_of_texts_beyond_a_block(monkeypatch, prose):
     found = near_copies.shingle_set(text)
     assert {len(found)} == want and near_copies.alike(found, near_copies.shingle_set(f"{text} end"))
     assert (np.diff(found.astype(object)) > 0).all()
+
+
+@pytest.mark.parametrize("part", [7, 1024])
+def test_large_classes_are_compared_whole(spark, make, prose, monkeypatch, part):
+    nothing = lambda texts: texts.select(texts["node"].alias("u"), texts["node"].alias("v")).limit(0)
+    for name, value in {"STARS": 0, "OFTEN": 10**9, "grid_pairs": nothing, "PART": part}.items():
+        monkeypatch.setattr(near_copies, name, value)
+    # All hold one line, and hardly more, so a third of the alike ones share shingles of that line only among those they are dealt by.
+    line = prose(30, 4)
+    texts = [f"{line} {prose(4, 20 + k)}" for k in range(100)]
+    texts += [f"{t} end" for t in texts[10:40]]
+    random.Random(1).shuffle(texts)
+    links = [(a, b) for a, b in combinations(range(len(texts)), 2) if similarity_by_hand(texts[a], texts[b]) >= 0.8]
+    want = sorted(set(roots_by_hand(len(texts), links)))
+    kept = corpus_pipeline.one_of_each_group(spark, make(texts), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == want and 80 < len(want) <= 100
